@@ -389,20 +389,10 @@ BASIC = {
     schema.JOB_END: _job_end,
 }
 TASK = {schema.TASK_START: _task_start, schema.TASK_END: _task_end}
-# Kind -> (event, position among the event's records).  In compat mode a task
-# end is *named* like a task start, but it is still asked for as tasks_ended.
-KINDS = {
-    "stages_started": (schema.STAGE_SUBMITTED, 0),
-    "stages_ended": (schema.STAGE_COMPLETED, 0),
-    "stage_metrics": (schema.STAGE_COMPLETED, 1),
-    "executor_excluded": (schema.EXECUTOR_EXCLUDED, 0),
-    "executor_added": (schema.EXECUTOR_ADDED, 0),
-    "executor_removed": (schema.EXECUTOR_REMOVED, 0),
-    "queries_started": (schema.SQL_START, 0),
-    "queries_ended": (schema.SQL_END, 0),
-    "jobs_started": (schema.JOB_START, 0),
-    "jobs_ended": (schema.JOB_END, 0),
-    "tasks_started": (schema.TASK_START, 0),
-    "tasks_ended": (schema.TASK_END, 0),
-    "task_metrics": (schema.TASK_END, 1),
-}
+
+
+def kind_record(kind: str, compat: bool = False) -> Record:
+    """The record of a kind.  In compat mode a task end is only *named* like a task start."""
+    event = schema.KIND_EVENTS[kind]
+    siblings = [k for k in schema.EXTENDED_KINDS if schema.KIND_EVENTS[k] == event]
+    return {**BASIC, **TASK}[event](compat)[siblings.index(kind)]

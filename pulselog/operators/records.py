@@ -8,18 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulselog import schema
-from pulselog.operators.catalogue import BASIC, KINDS, TASK, Record, with_stage_counters
+from pulselog.operators.catalogue import BASIC, TASK, Record, kind_record, with_stage_counters
 
-RECORD_NAMES = tuple(KINDS)
+RECORD_NAMES = schema.EXTENDED_KINDS
 
 
 def record_table(events: DataFrame, kind: str, compat: bool = False) -> DataFrame:
     """The table of one record kind: metricType, name, appId, its fields, epochMillis."""
-    event, position = KINDS[kind]
-    builder = {**BASIC, **TASK}[event]
     rows = with_stage_counters(events) if kind == "stage_metrics" else events
-    record = builder(compat)[position]
-    return rows.where((F.col("Event") == event) & record.present).select(
+    record = kind_record(kind, compat)
+    is_kind = F.col("Event") == schema.KIND_EVENTS[kind]
+    return rows.where(is_kind & record.present).select(
         record.metric_type.alias("metricType"), *[field.column for field in record.entries()]
     )
 

@@ -19,20 +19,42 @@ TASK_END = "SparkListenerTaskEnd"
 APPLICATION_START = "SparkListenerApplicationStart"
 APPLICATION_END = "SparkListenerApplicationEnd"
 
-BASIC_EVENTS = (
-    STAGE_SUBMITTED,
-    STAGE_COMPLETED,
-    EXECUTOR_EXCLUDED,
-    EXECUTOR_ADDED,
-    EXECUTOR_REMOVED,
-    SQL_START,
-    SQL_END,
-    JOB_START,
-    JOB_END,
+# Record kind -> its event.  The last three are no records of their own: the roll-up
+# of tasks to stages and the two application log lines.
+KIND_EVENTS = {
+    "stages_started": STAGE_SUBMITTED,
+    "stages_ended": STAGE_COMPLETED,
+    "stage_metrics": STAGE_COMPLETED,
+    "executor_excluded": EXECUTOR_EXCLUDED,
+    "executor_added": EXECUTOR_ADDED,
+    "executor_removed": EXECUTOR_REMOVED,
+    "queries_started": SQL_START,
+    "queries_ended": SQL_END,
+    "jobs_started": JOB_START,
+    "jobs_ended": JOB_END,
+    "tasks_started": TASK_START,
+    "tasks_ended": TASK_END,
+    "task_metrics": TASK_END,
+    "stage_rollup": TASK_END,
+    "application_started": APPLICATION_START,
+    "application_ended": APPLICATION_END,
+}
+TASK_KINDS = ("tasks_started", "tasks_ended", "task_metrics")
+APPLICATION_KINDS = ("application_started", "application_ended")
+BASIC_KINDS = tuple(
+    kind for kind in KIND_EVENTS if kind not in (*TASK_KINDS, *APPLICATION_KINDS, "stage_rollup")
 )
-TASK_EVENTS = (TASK_START, TASK_END)
+EXTENDED_KINDS = BASIC_KINDS + TASK_KINDS
+ALL_KINDS = EXTENDED_KINDS + ("stage_rollup",) + APPLICATION_KINDS
 APPLICATION_EVENTS = (APPLICATION_START, APPLICATION_END)
-ALL_EVENTS = BASIC_EVENTS + TASK_EVENTS + APPLICATION_EVENTS
+
+
+def kind_events(kinds=ALL_KINDS) -> tuple[str, ...]:
+    """The events that the given record kinds come from."""
+    return tuple(dict.fromkeys(KIND_EVENTS[kind] for kind in kinds))
+
+
+ALL_EVENTS = kind_events()
 
 # Only the fields that some record needs.  Call sites, RDD infos, stage infos of
 # job starts, plan texts and per-task accumulables are left out, so the JSON
@@ -71,47 +93,47 @@ _TASK_METRICS = """struct<
         `Shuffle Bytes Written`: bigint, `Shuffle Records Written`: bigint,
         `Shuffle Write Time`: bigint>>"""
 
-# Top-level line fields and the events that need them.
-_STAGES = (STAGE_SUBMITTED, STAGE_COMPLETED)
-_JOBS = (JOB_START, JOB_END)
-_EXECUTORS = (EXECUTOR_ADDED, EXECUTOR_REMOVED)
-_SQL = (SQL_START, SQL_END)
+# Top-level line fields and the record kinds that need them.
+_STAGES = ("stages_started", "stages_ended", "stage_metrics")
+_JOBS = ("jobs_started", "jobs_ended")
+_TASKS = (*TASK_KINDS, "stage_rollup")
+_EXECUTORS = ("executor_added", "executor_removed")
+_SQL = ("queries_started", "queries_ended")
 _LINE_FIELDS = (
     ("Stage Info", _STAGE_INFO, _STAGES),
     ("Job ID", "bigint", _JOBS),
-    ("Submission Time", "bigint", (JOB_START,)),
-    ("Completion Time", "bigint", (JOB_END,)),
-    ("Job Result", "struct<Result: string, Exception: struct<Message: string>>", (JOB_END,)),
-    ("Stage ID", "bigint", TASK_EVENTS),
-    ("Stage Attempt ID", "int", TASK_EVENTS),
-    ("Task Info", _TASK_INFO, TASK_EVENTS),
-    ("Task End Reason", _TASK_END_REASON, (TASK_END,)),
-    ("Task Metrics", _TASK_METRICS, (TASK_END,)),
-    ("Timestamp", "bigint", _EXECUTORS + APPLICATION_EVENTS),
+    ("Submission Time", "bigint", ("jobs_started",)),
+    ("Completion Time", "bigint", ("jobs_ended",)),
+    ("Job Result", "struct<Result: string, Exception: struct<Message: string>>", ("jobs_ended",)),
+    ("Stage ID", "bigint", _TASKS),
+    ("Stage Attempt ID", "int", ("stage_rollup",)),
+    ("Task Info", _TASK_INFO, _TASKS),
+    ("Task End Reason", _TASK_END_REASON, ("task_metrics",)),
+    ("Task Metrics", _TASK_METRICS, ("task_metrics", "stage_rollup")),
+    ("Timestamp", "bigint", _EXECUTORS + APPLICATION_KINDS),
     ("Executor ID", "string", _EXECUTORS),
-    ("Executor Info", "struct<Host: string, `Total Cores`: int>", (EXECUTOR_ADDED,)),
-    ("Removed Reason", "string", (EXECUTOR_REMOVED,)),
-    ("executorId", "string", (EXECUTOR_EXCLUDED,)),
-    ("taskFailures", "int", (EXECUTOR_EXCLUDED,)),
-    ("time", "bigint", (EXECUTOR_EXCLUDED,) + _SQL),
+    ("Executor Info", "struct<Host: string, `Total Cores`: int>", ("executor_added",)),
+    ("Removed Reason", "string", ("executor_removed",)),
+    ("executorId", "string", ("executor_excluded",)),
+    ("taskFailures", "int", ("executor_excluded",)),
+    ("time", "bigint", ("executor_excluded", *_SQL)),
     ("executionId", "bigint", _SQL),
-    ("description", "string", (SQL_START,)),
-    ("App Name", "string", (APPLICATION_START,)),
-    ("App ID", "string", (APPLICATION_START,)),
-    ("App Attempt ID", "string", (APPLICATION_START,)),
-    ("User", "string", (APPLICATION_START,)),
+    ("description", "string", ("queries_started",)),
+    ("App Name", "string", ("application_started",)),
+    ("App ID", "string", ("application_started",)),
+    ("App Attempt ID", "string", ("application_started",)),
+    ("User", "string", ("application_started",)),
 )
 
 
-def line_fields(events=ALL_EVENTS) -> list[str]:
-    """Names of the top-level line fields that the given events need."""
-    return [name for name, _, users in _LINE_FIELDS if set(users) & set(events)]
+def line_fields(kinds=ALL_KINDS) -> list[str]:
+    """Names of the top-level line fields that the given record kinds need."""
+    return [name for name, _, users in _LINE_FIELDS if set(users) & set(kinds)]
 
 
-def line_ddl(events=ALL_EVENTS, with_event: bool = True) -> str:
-    """DDL schema of an event-log line, narrowed to what the events need."""
-    wanted = line_fields(events)
-    fields = [f"`{name}` {ddl}" for name, ddl, _ in _LINE_FIELDS if name in wanted]
+def line_ddl(kinds=ALL_KINDS, with_event: bool = True) -> str:
+    """DDL schema of an event-log line, narrowed to what the record kinds need."""
+    fields = [f"`{name}` {ddl}" for name, ddl, users in _LINE_FIELDS if set(users) & set(kinds)]
     return ", ".join((["Event string"] if with_event else []) + fields)
 
 

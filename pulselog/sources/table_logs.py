@@ -116,8 +116,16 @@ APPLICATION = {
 BLOCK_MANAGER = {"app_id": "'app-0'", "host": "n_name", "time_ms": "n_nationkey * 1000"}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the supplied tables.
+
+    A table in fewer splits than there are cores is spread over the cores, since
+    writing and parsing lines costs far more than moving such a small table.  A
+    table of any size has more splits than that and is taken as it lies.
+    """
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
 
 
 def _inputs(table: DataFrame, expressions: dict[str, str]) -> DataFrame:
@@ -153,7 +161,7 @@ def _nested(values: dict[str, Column]) -> Column:
 
 def task_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A task start and a task end per line item."""
-    items = _table(spark, sf_dir, "lineitem").withColumn("ship_ms", epoch_millis(F.col("l_shipdate")))
+    items = read_table(spark, sf_dir, "lineitem").withColumn("ship_ms", epoch_millis(F.col("l_shipdate")))
     rows = _inputs(items, {**TASK, **TASK_COUNTERS})
 
     def info(finish: Column, getting_result: Column, failed: Column, killed: Column) -> Column:
@@ -215,7 +223,7 @@ def task_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stage submission and a stage completion per supplier that occurs in line items."""
-    items = _table(spark, sf_dir, "lineitem").withColumn("ship_ms", epoch_millis(F.col("l_shipdate")))
+    items = read_table(spark, sf_dir, "lineitem").withColumn("ship_ms", epoch_millis(F.col("l_shipdate")))
     inputs = {"ship_ms": "ship_ms", "l_suppkey": "l_suppkey", **TASK_COUNTERS}
     stages = (
         _inputs(items, inputs)
@@ -273,7 +281,7 @@ def stage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A job start and a job end per order."""
-    orders = _table(spark, sf_dir, "orders").withColumn("order_ms", epoch_millis(F.col("o_orderdate")))
+    orders = read_table(spark, sf_dir, "orders").withColumn("order_ms", epoch_millis(F.col("o_orderdate")))
     result = _object(
         Result=F.when(F.col("failed"), "JobFailed").otherwise("JobSucceeded"),
         Exception=F.when(F.col("failed"), _object(Message=F.col("message"))),
@@ -296,7 +304,7 @@ def executor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "taskFailures": F.col("failures"),
     }
     return _lines(
-        _inputs(_table(spark, sf_dir, "supplier"), EXECUTOR),
+        _inputs(read_table(spark, sf_dir, "supplier"), EXECUTOR),
         _line(schema.EXECUTOR_ADDED, {**executor, "Executor Info": info}),
         _line(schema.EXECUTOR_REMOVED, {**executor, "Removed Reason": F.col("reason")}),
         _line(schema.EXECUTOR_EXCLUDED, excluded),
@@ -305,7 +313,7 @@ def executor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A SQL execution start and end per row of `events`."""
-    events = _table(spark, sf_dir, "events").withColumn("event_ms", epoch_millis(F.col("ts")))
+    events = read_table(spark, sf_dir, "events").withColumn("event_ms", epoch_millis(F.col("ts")))
     query = {"executionId": F.col("query_id")}
     return _lines(
         _inputs(events, SQL),
@@ -327,7 +335,7 @@ def application_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "App Attempt ID": F.col("attempt"),
     }
     return _lines(
-        _inputs(_table(spark, sf_dir, "customer"), APPLICATION),
+        _inputs(read_table(spark, sf_dir, "customer"), APPLICATION),
         _line(schema.APPLICATION_START, start),
         _line(schema.APPLICATION_END, {"Timestamp": F.col("time_ms")}),
         app="log_app",
@@ -338,7 +346,7 @@ def block_manager_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An event without a record per nation."""
     manager = _object(**{"Executor ID": F.lit("driver"), "Host": F.col("host"), "Port": F.lit(7000)})
     return _lines(
-        _inputs(_table(spark, sf_dir, "nation"), BLOCK_MANAGER),
+        _inputs(read_table(spark, sf_dir, "nation"), BLOCK_MANAGER),
         _line(
             "SparkListenerBlockManagerAdded",
             {"Block Manager ID": manager, "Maximum Memory": F.lit(1), "Timestamp": F.col("time_ms")},
