@@ -3,36 +3,18 @@
 from pulselog.functions.lines import app_id_from_path, event_name
 from pulselog.functions.names import (
     or_default,
-    sample_line,
     sanitize_label_name,
     sanitize_metric_name,
 )
 from pulselog.functions.order import epoch_micros, epoch_millis, order_key
-from pulselog.functions.tasks import (
-    failure_text,
-    job_result_text,
-    task_duration,
-    task_finished,
-    task_locality_code,
-    task_status,
-    task_successful,
-)
 
 __all__ = [
     "app_id_from_path",
     "epoch_micros",
     "epoch_millis",
     "event_name",
-    "failure_text",
-    "job_result_text",
     "or_default",
     "order_key",
-    "sample_line",
     "sanitize_label_name",
     "sanitize_metric_name",
-    "task_duration",
-    "task_finished",
-    "task_locality_code",
-    "task_status",
-    "task_successful",
 ]

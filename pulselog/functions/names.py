@@ -27,11 +27,6 @@ def sanitize_label_name(name: Column) -> Column:
     return _sanitize(name, _NOT_LABEL)
 
 
-def sample_line(metric: Column, value: Column) -> Column:
-    """``name value``; null for a missing value."""
-    return F.concat(metric, F.lit(" "), value.cast("string"))
-
-
 def or_default(text: Column, default: str) -> Column:
     """The text, or the default where it is null or empty."""
     return F.when(F.length(text) > 0, text).otherwise(default)

@@ -1,9 +1,11 @@
-"""Fields a record derives from task and job information."""
+"""Fields a record derives from task and job information, as SQL text.
 
-from __future__ import annotations
+Record kinds are rendered as one SQL expression each: building thousands of
+Column nodes one call at a time would take longer than running many a query.
+Arguments are SQL expressions of the struct or field.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Locality level codes; every other level is -1.
 LOCALITY_CODES = {
@@ -15,116 +17,76 @@ LOCALITY_CODES = {
 }
 
 
-def task_locality_code(locality: Column) -> Column:
-    code = F.lit(-1)
-    for level, value in LOCALITY_CODES.items():
-        code = F.when(locality == level, F.lit(value)).otherwise(code)
-    return code
-
-
-def _is(flag: Column) -> Column:
-    return F.coalesce(flag, F.lit(False))
+def task_locality_code(locality: str) -> str:
+    levels = " ".join(f"WHEN '{level}' THEN {code}" for level, code in LOCALITY_CODES.items())
+    return f"CASE {locality} {levels} ELSE -1 END"
 
 
-def task_finished(info: Column) -> Column:
-    return F.coalesce(info["Finish Time"], F.lit(0)) != 0
+def task_finished(info: str) -> str:
+    return f"(coalesce({info}.`Finish Time`, 0) != 0)"
 
 
-def task_successful(info: Column) -> Column:
-    return task_finished(info) & ~_is(info["Failed"]) & ~_is(info["Killed"])
+def task_successful(info: str) -> str:
+    return (
+        f"({task_finished(info)} AND NOT coalesce({info}.Failed, false)"
+        f" AND NOT coalesce({info}.Killed, false))"
+    )
 
 
-def task_duration(info: Column) -> Column:
+def task_duration(info: str) -> str:
     """Finish minus launch; null while the task is running."""
-    return F.when(task_finished(info), info["Finish Time"] - info["Launch Time"])
+    elapsed = f"{info}.`Finish Time` - {info}.`Launch Time`"
+    return f"CASE WHEN {task_finished(info)} THEN {elapsed} END"
 
 
-def task_status(info: Column) -> Column:
-    fetching = F.coalesce(info["Getting Result Time"], F.lit(0)) != 0
-    return (
-        F.when(~task_finished(info) & fetching, "GET RESULT")
-        .when(~task_finished(info), "RUNNING")
-        .when(_is(info["Failed"]), "FAILED")
-        .when(_is(info["Killed"]), "KILLED")
-        .otherwise("SUCCESS")
-    )
+def task_status(info: str) -> str:
+    return f"""CASE
+        WHEN NOT {task_finished(info)} THEN
+            IF(coalesce({info}.`Getting Result Time`, 0) != 0, 'GET RESULT', 'RUNNING')
+        WHEN {info}.Failed THEN 'FAILED'
+        WHEN {info}.Killed THEN 'KILLED'
+        ELSE 'SUCCESS' END"""
 
 
-def failure_text(reason: Column) -> Column:
+def failure_text(reason: str) -> str:
     """Error text of a `Task End Reason`, worded as Spark words it; '' on success."""
-    kind = reason["Reason"]
-    manager = reason["Block Manager Address"]
-    fetch_failed = F.concat(
-        F.lit("FetchFailed("),
-        F.coalesce(
-            F.format_string(
-                "BlockManagerId(%s, %s, %d, None)",
-                manager["Executor ID"],
-                manager["Host"],
-                manager["Port"],
-            ),
-            F.lit("null"),
-        ),
-        F.format_string(
-            ", shuffleId=%d, mapIndex=%d, mapId=%d, reduceId=%d, message=\n%s\n)",
-            reason["Shuffle ID"],
-            reason["Map Index"],
-            reason["Map ID"],
-            reason["Reduce ID"],
-            F.coalesce(reason["Message"], F.lit("Unknown reason")),
-        ),
-    )
-    executor_lost = F.concat(
-        F.lit("ExecutorLostFailure (executor "),
-        F.coalesce(reason["Executor ID"], F.lit("null")),
-        F.when(
-            F.coalesce(reason["Exit Caused By App"], F.lit(True)),
-            " exited caused by one of the running tasks)",
-        ).otherwise(" exited unrelated to the running tasks)"),
-        F.coalesce(F.concat(F.lit(" Reason: "), reason["Loss Reason"]), F.lit("")),
-    )
-    return (
-        F.when(kind.isNull() | (kind == "Success"), "")
-        .when(
-            kind == "ExceptionFailure",
-            F.coalesce(
-                reason["Full Stack Trace"],
-                F.concat_ws(": ", reason["Class Name"], reason["Description"]),
-            ),
-        )
-        .when(kind == "FetchFailed", fetch_failed)
-        .when(kind == "ExecutorLostFailure", executor_lost)
-        .when(
-            kind == "TaskKilled",
-            F.format_string(
-                "TaskKilled (%s)", F.coalesce(reason["Kill Reason"], F.lit("unknown reason"))
-            ),
-        )
-        .when(
-            kind == "TaskCommitDenied",
-            F.format_string(
-                "TaskCommitDenied (Driver denied task commit) for job: %d, partition: %d, "
-                "attemptNumber: %d",
-                reason["Job ID"],
-                reason["Partition ID"],
-                reason["Attempt Number"],
-            ),
-        )
-        .when(kind == "Resubmitted", "Resubmitted (resubmitted due to lost executor)")
-        .when(kind == "TaskResultLost", "TaskResultLost (result lost from block manager)")
-        .otherwise(kind)
-    )
-
-
-def job_result_text(result: Column, compat: bool = False) -> Column:
+    manager = f"{reason}.`Block Manager Address`"
+    return f"""CASE coalesce({reason}.Reason, 'Success')
+        WHEN 'Success' THEN ''
+        WHEN 'ExceptionFailure' THEN coalesce(
+            {reason}.`Full Stack Trace`,
+            concat_ws(': ', {reason}.`Class Name`, {reason}.Description))
+        WHEN 'FetchFailed' THEN concat(
+            'FetchFailed(',
+            IF({manager} IS NULL, 'null', format_string('BlockManagerId(%s, %s, %d, None)',
+                {manager}.`Executor ID`, {manager}.Host, {manager}.Port)),
+            format_string(', shuffleId=%d, mapIndex=%d, mapId=%d, reduceId=%d, message=\\n%s\\n)',
+                {reason}.`Shuffle ID`, {reason}.`Map Index`, {reason}.`Map ID`,
+                {reason}.`Reduce ID`, coalesce({reason}.Message, 'Unknown reason')))
+        WHEN 'ExecutorLostFailure' THEN concat(
+            'ExecutorLostFailure (executor ', coalesce({reason}.`Executor ID`, 'null'),
+            IF(coalesce({reason}.`Exit Caused By App`, true),
+                ' exited caused by one of the running tasks)',
+                ' exited unrelated to the running tasks)'),
+            coalesce(concat(' Reason: ', {reason}.`Loss Reason`), ''))
+        WHEN 'TaskKilled' THEN concat(
+            'TaskKilled (', coalesce({reason}.`Kill Reason`, 'unknown reason'), ')')
+        WHEN 'TaskCommitDenied' THEN format_string(
+            'TaskCommitDenied (Driver denied task commit) for job: %d, partition: %d, '
+            'attemptNumber: %d',
+            {reason}.`Job ID`, {reason}.`Partition ID`, {reason}.`Attempt Number`)
+        WHEN 'Resubmitted' THEN 'Resubmitted (resubmitted due to lost executor)'
+        WHEN 'TaskResultLost' THEN 'TaskResultLost (result lost from block manager)'
+        ELSE {reason}.Reason END"""
+
+
+def job_result_text(result: str, compat: bool = False) -> str:
     """``Succeeded`` or ``Failed: <message>``.
 
     A log keeps the message of the failure but not its class.  ``compat`` words
-    it as a Spark 3 listener sees it, where that class is always SparkException.
+    it as a Spark 3 listener sees it, where that class is SparkException.
     """
-    message = F.coalesce(result["Exception"]["Message"], result["Result"], F.lit(""))
+    message = f"coalesce({result}.Exception.Message, {result}.Result, '')"
     if compat:
-        failed = F.format_string("Failed: JobFailed(org.apache.spark.SparkException: %s)", message)
-    else:
-        failed = F.concat(F.lit("Failed: "), message)
-    return F.when(result["Result"] == "JobSucceeded", "Succeeded").otherwise(failed)
+        message = f"concat('JobFailed(org.apache.spark.SparkException: ', {message}, ')')"
+    return f"IF({result}.Result = 'JobSucceeded', 'Succeeded', concat('Failed: ', {message}))"

@@ -1,6 +1,6 @@
 """What each listener event turns into: thirteen record kinds.
 
-A record kind is a set of column expressions over a parsed event row (see
+A record kind is a set of SQL expressions over a parsed event row (see
 ``pulselog.sources``).  Two families of renderers use it: typed tables, one per
 kind, and the mixed stream, where one pass over the events emits all kinds.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulselog import schema
@@ -30,11 +30,11 @@ STAGE_COUNTERS = "_stage_counters"
 class Field:
     name: str
     type: str
-    value: Column
+    sql: str
 
     @property
-    def column(self) -> Column:
-        return self.value.cast(self.type).alias(self.name)
+    def value(self) -> str:
+        return f"CAST({self.sql} AS {self.type})"
 
 
 @dataclass(frozen=True)
@@ -46,57 +46,48 @@ class Record:
     """
 
     name: str
-    key: tuple
+    key: tuple[str, ...]
     fields: tuple[Field, ...]
-    time: Column
-    present: Column
+    time: str
+    present: str
 
     @property
-    def metric_type(self) -> Column:
+    def metric_type(self) -> str:
         prefix, *parts = self.key
-        return F.concat_ws("-", F.lit(prefix), *[part.cast("string") for part in parts])
+        return f"concat_ws('-', '{prefix}', {', '.join(f'CAST({p} AS string)' for p in parts)})"
 
-    def entries(self, epoch: Column | None = None) -> list[Field]:
+    def entries(self, epoch: str | None = None) -> list[Field]:
         """All entries of the record's map, in declared order."""
         return [
-            Field("name", "string", F.lit(self.name)),
-            Field("appId", "string", F.col("appId")),
+            Field("name", "string", f"'{self.name}'"),
+            Field("appId", "string", "appId"),
             *self.fields,
-            Field("epochMillis", "bigint", self.time if epoch is None else epoch),
+            Field("epochMillis", "bigint", epoch or self.time),
         ]
 
 
-def _long(name: str, value: Column) -> Field:
-    return Field(name, "bigint", value)
+def _long(name: str, sql: str) -> Field:
+    return Field(name, "bigint", sql)
 
 
-def _int(name: str, value: Column) -> Field:
-    return Field(name, "int", value)
+def _int(name: str, sql: str) -> Field:
+    return Field(name, "int", sql)
 
 
-def _text(name: str, value: Column) -> Field:
-    return Field(name, "string", value)
+def _text(name: str, sql: str) -> Field:
+    return Field(name, "string", sql)
 
 
-def _flag(name: str, value: Column) -> Field:
-    return Field(name, "boolean", value)
+def _flag(name: str, sql: str) -> Field:
+    return Field(name, "boolean", sql)
 
 
-def _or_zero(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0).cast("bigint"))
+def _or_zero(sql: str) -> str:
+    return f"coalesce({sql}, 0L)"
 
 
-def _at(root: Column, path: str) -> Column:
-    for step in path.split("."):
-        root = root[step]
-    return root
-
-
-def _total(values: list[Column]) -> Column:
-    total = values[0]
-    for value in values[1:]:
-        total = total + value
-    return total
+def _path(path: str) -> str:
+    return ".".join(f"`{step}`" for step in path.split("."))
 
 
 def with_stage_counters(events: DataFrame) -> DataFrame:
@@ -107,272 +98,254 @@ def with_stage_counters(events: DataFrame) -> DataFrame:
     """
     if "Stage Info" not in events.columns:
         return events
-    internal = F.filter(
-        F.col("`Stage Info`")["Accumulables"],
-        lambda item: item["Name"].startswith(schema.ACCUMULATOR_PREFIX),
+    prefix = schema.ACCUMULATOR_PREFIX
+    internal = f"filter(`Stage Info`.Accumulables, a -> startswith(a.Name, '{prefix}'))"
+    first = (
+        f"filter({internal}, (a, i) -> "
+        f"array_position(transform({internal}, b -> b.Name), a.Name) = i + 1)"
     )
-    names = F.transform(internal, lambda item: item["Name"])
-    first = F.filter(internal, lambda item, i: F.array_position(names, item["Name"]) == i + 1)
-    counters = F.map_from_entries(
-        F.transform(
-            first,
-            lambda item: F.struct(
-                F.substring(item["Name"], len(schema.ACCUMULATOR_PREFIX) + 1, 2**31 - 1),
-                item["Value"].try_cast("bigint"),
-            ),
-        )
+    entries = (
+        f"transform({first}, a -> struct("
+        f"substring(a.Name, {len(prefix) + 1}), try_cast(a.Value AS bigint)))"
     )
-    return events.withColumn(STAGE_COUNTERS, counters)
+    return events.withColumn(STAGE_COUNTERS, F.expr(f"map_from_entries({entries})"))
 
 
 def task_counters() -> list[Field]:
     """The 25 counters of a task: 0 where the log leaves one out, null without task metrics."""
-    metrics = F.col("`Task Metrics`")
 
-    def value(counter: schema.Counter) -> Column:
-        return F.when(
-            metrics.isNotNull(), _total([_or_zero(_at(metrics, path)) for path in counter.task])
-        )
+    def value(counter: schema.Counter) -> str:
+        total = " + ".join(_or_zero(f"`Task Metrics`.{_path(path)}") for path in counter.task)
+        return f"IF(`Task Metrics` IS NOT NULL, {total}, NULL)"
 
     return [_long(counter.name, value(counter)) for counter in schema.COUNTERS]
 
 
 def _stage_counters() -> list[Field]:
     """The 25 counters of a stage; a counter the stage never touched is 0."""
-    accumulated = F.col(STAGE_COUNTERS)
-    return [
-        _long(counter.name, _total([_or_zero(accumulated[name]) for name in counter.stage]))
-        for counter in schema.COUNTERS
-    ]
 
+    def value(counter: schema.Counter) -> str:
+        return " + ".join(_or_zero(f"{STAGE_COUNTERS}['{name}']") for name in counter.stage)
 
-def _stage_identity() -> list[Field]:
-    info = F.col("`Stage Info`")
-    return [
-        _long("stageId", info["Stage ID"]),
-        _long("attemptNumber", info["Stage Attempt ID"]),
-        _long("submissionTime", _or_zero(info["Submission Time"])),
-    ]
+    return [_long(counter.name, value(counter)) for counter in schema.COUNTERS]
+
+
+_STAGE_KEY = ("`Stage Info`.`Stage ID`", "`Stage Info`.`Stage Attempt ID`")
+_STAGE_PRESENT = "`Stage Info`.`Stage ID` IS NOT NULL"
+_STAGE_SUBMISSION = _or_zero("`Stage Info`.`Submission Time`")
+_STAGE_IDENTITY = (
+    _long("stageId", "`Stage Info`.`Stage ID`"),
+    _long("attemptNumber", "`Stage Info`.`Stage Attempt ID`"),
+    _long("submissionTime", _STAGE_SUBMISSION),
+)
 
 
 def _stage_submitted(compat: bool) -> list[Record]:
-    info = F.col("`Stage Info`")
     return [
         Record(
             "stages_started",
-            ("stageSubmitted", info["Stage ID"], info["Stage Attempt ID"]),
-            tuple(_stage_identity()),
-            _or_zero(info["Submission Time"]),
-            info["Stage ID"].isNotNull(),
+            ("stageSubmitted", *_STAGE_KEY),
+            _STAGE_IDENTITY,
+            _STAGE_SUBMISSION,
+            _STAGE_PRESENT,
         )
     ]
 
 
 def _stage_completed(compat: bool) -> list[Record]:
-    info = F.col("`Stage Info`")
-    stage = (info["Stage ID"], info["Stage Attempt ID"])
-    completed = _or_zero(info["Completion Time"])
-    shared = [*_stage_identity(), _long("completionTime", completed)]
+    completed = _or_zero("`Stage Info`.`Completion Time`")
+    shared = (*_STAGE_IDENTITY, _long("completionTime", completed))
     counters = _stage_counters()
     if compat:
-        run_time = counters[0].value
+        run_time = counters[0].sql
         counters = [
             _long(c.name, run_time) if c.name == "executorCpuTime" else c for c in counters
         ]
-    present = info["Stage ID"].isNotNull()
     return [
-        Record("stages_ended", ("stageEnd", *stage), tuple(shared), completed, present),
+        Record("stages_ended", ("stageEnd", *_STAGE_KEY), shared, completed, _STAGE_PRESENT),
         Record(
             "stage_metrics",
-            ("stageMetrics", *stage),
+            ("stageMetrics", *_STAGE_KEY),
             (
                 *shared,
-                _text("failureReason", F.coalesce(info["Failure Reason"], F.lit(""))),
+                _text("failureReason", "coalesce(`Stage Info`.`Failure Reason`, '')"),
                 *counters,
-                _int("numTasks", info["Number of Tasks"]),
+                _int("numTasks", "`Stage Info`.`Number of Tasks`"),
             ),
             completed,
-            present,
+            _STAGE_PRESENT,
         ),
     ]
 
 
 def _executor_excluded(compat: bool) -> list[Record]:
-    executor = F.col("executorId")
     return [
         Record(
             "executor_excluded",
-            ("executorExcluded", executor),
+            ("executorExcluded", "executorId"),
             (
-                _long("time", F.col("time")),
-                _text("executorId", executor),
-                _int("taskFailures", F.col("taskFailures")),
+                _long("time", "time"),
+                _text("executorId", "executorId"),
+                _int("taskFailures", "taskFailures"),
             ),
-            F.col("time"),
-            executor.isNotNull(),
+            "time",
+            "executorId IS NOT NULL",
         )
     ]
 
 
 def _executor_added(compat: bool) -> list[Record]:
-    executor, info = F.col("`Executor ID`"), F.col("`Executor Info`")
     return [
         Record(
             "executor_added",
-            ("executorAdded", executor),
+            ("executorAdded", "`Executor ID`"),
             (
-                _long("time", F.col("Timestamp")),
-                _text("executorId", executor),
-                _text("executorHost", info["Host"]),
-                _int("totalCores", info["Total Cores"]),
+                _long("time", "Timestamp"),
+                _text("executorId", "`Executor ID`"),
+                _text("executorHost", "`Executor Info`.Host"),
+                _int("totalCores", "`Executor Info`.`Total Cores`"),
             ),
-            F.col("Timestamp"),
-            executor.isNotNull(),
+            "Timestamp",
+            "`Executor ID` IS NOT NULL",
         )
     ]
 
 
 def _executor_removed(compat: bool) -> list[Record]:
-    executor = F.col("`Executor ID`")
     return [
         Record(
             "executor_removed",
-            ("executorRemoved", executor),
+            ("executorRemoved", "`Executor ID`"),
             (
-                _long("time", F.col("Timestamp")),
-                _text("executorId", executor),
-                _text("reason", F.col("`Removed Reason`")),
+                _long("time", "Timestamp"),
+                _text("executorId", "`Executor ID`"),
+                _text("reason", "`Removed Reason`"),
             ),
-            F.col("Timestamp"),
-            executor.isNotNull(),
+            "Timestamp",
+            "`Executor ID` IS NOT NULL",
         )
     ]
 
 
 def _sql_start(compat: bool) -> list[Record]:
-    query = F.col("executionId")
     return [
         Record(
             "queries_started",
-            ("queryStart", query),
+            ("queryStart", "executionId"),
             (
-                _text("description", F.col("description")),
-                _long("queryId", query),
-                _long("startTime", F.col("time")),
+                _text("description", "description"),
+                _long("queryId", "executionId"),
+                _long("startTime", "time"),
             ),
-            F.col("time"),
-            query.isNotNull(),
+            "time",
+            "executionId IS NOT NULL",
         )
     ]
 
 
 def _sql_end(compat: bool) -> list[Record]:
-    query = F.col("executionId")
     return [
         Record(
             "queries_ended",
-            ("queryEnd", query),
-            (_long("queryId", query), _long("endTime", F.col("time"))),
-            F.col("time"),
-            query.isNotNull(),
+            ("queryEnd", "executionId"),
+            (_long("queryId", "executionId"), _long("endTime", "time")),
+            "time",
+            "executionId IS NOT NULL",
         )
     ]
 
 
 def _job_start(compat: bool) -> list[Record]:
-    job, started = F.col("`Job ID`"), F.col("`Submission Time`")
     return [
         Record(
             "jobs_started",
-            ("jobStart", job),
-            (_long("jobId", job), _long("startTime", started)),
-            started,
-            job.isNotNull(),
+            ("jobStart", "`Job ID`"),
+            (_long("jobId", "`Job ID`"), _long("startTime", "`Submission Time`")),
+            "`Submission Time`",
+            "`Job ID` IS NOT NULL",
         )
     ]
 
 
 def _job_end(compat: bool) -> list[Record]:
-    job, completed = F.col("`Job ID`"), F.col("`Completion Time`")
     return [
         Record(
             "jobs_ended",
-            ("jobEnd", job),
+            ("jobEnd", "`Job ID`"),
             (
-                _long("jobId", job),
-                _long("completionTime", completed),
-                _text("jobResult", job_result_text(F.col("`Job Result`"), compat)),
+                _long("jobId", "`Job ID`"),
+                _long("completionTime", "`Completion Time`"),
+                _text("jobResult", job_result_text("`Job Result`", compat)),
             ),
-            completed,
-            job.isNotNull(),
+            "`Completion Time`",
+            "`Job ID` IS NOT NULL",
         )
     ]
 
 
-def _task_identity() -> list[Field]:
-    info = F.col("`Task Info`")
-    return [
-        _long("taskId", info["Task ID"]),
-        _int("attemptNumber", info["Attempt"]),
-        _int("stageId", F.col("`Stage ID`")),
-        _long("launchTime", info["Launch Time"]),
-    ]
+_TASK_INFO = "`Task Info`"
+_TASK_KEY = (f"{_TASK_INFO}.`Task ID`", f"{_TASK_INFO}.Attempt")
+_TASK_PRESENT = f"{_TASK_INFO}.`Task ID` IS NOT NULL"
+_TASK_IDENTITY = (
+    _long("taskId", f"{_TASK_INFO}.`Task ID`"),
+    _int("attemptNumber", f"{_TASK_INFO}.Attempt"),
+    _int("stageId", "`Stage ID`"),
+    _long("launchTime", f"{_TASK_INFO}.`Launch Time`"),
+)
 
 
 def _task_start(compat: bool) -> list[Record]:
-    info = F.col("`Task Info`")
     return [
         Record(
             "tasks_started",
-            ("taskStart", info["Task ID"], info["Attempt"]),
-            tuple(_task_identity()),
-            info["Launch Time"],
-            info["Task ID"].isNotNull(),
+            ("taskStart", *_TASK_KEY),
+            _TASK_IDENTITY,
+            f"{_TASK_INFO}.`Launch Time`",
+            _TASK_PRESENT,
         )
     ]
 
 
 def _task_end(compat: bool) -> list[Record]:
-    info, metrics = F.col("`Task Info`"), F.col("`Task Metrics`")
-    task = (info["Task ID"], info["Attempt"])
-    finish = info["Finish Time"]
-    shared = [*_task_identity(), _long("finishTime", finish)]
-    present = info["Task ID"].isNotNull()
+    finish = f"{_TASK_INFO}.`Finish Time`"
+    shared = (*_TASK_IDENTITY, _long("finishTime", finish))
     counters = task_counters()
+    measured = _TASK_PRESENT
     if compat:
         counters = [
-            _long("remoteBytesReadToDisk", c.value) if c.name.endswith("ReadToDisk") else c
+            _long("remoteBytesReadToDisk", c.sql) if c.name.endswith("ReadToDisk") else c
             for c in counters
         ]
+        # A listener cannot report a task without metrics or finish time.
+        measured += f" AND `Task Metrics` IS NOT NULL AND {task_finished(_TASK_INFO)}"
     return [
         Record(
             "tasks_started" if compat else "tasks_ended",
-            ("taskEnd", *task),
-            tuple(shared),
+            ("taskEnd", *_TASK_KEY),
+            shared,
             finish,
-            present,
+            _TASK_PRESENT,
         ),
         Record(
             "task_metrics",
-            ("taskMetrics", *task),
+            ("taskMetrics", *_TASK_KEY),
             (
                 *shared,
-                _text("status", task_status(info)),
-                _flag("failed", info["Failed"]),
-                _text("failureReason", failure_text(F.col("`Task End Reason`"))),
-                _flag("speculative", info["Speculative"]),
-                _flag("killed", info["Killed"]),
-                _flag("finished", task_finished(info)),
-                _text("executorId", info["Executor ID"]),
-                _long("duration", task_duration(info)),
-                _flag("successful", task_successful(info)),
-                _text("host", info["Host"]),
-                _int("taskLocality", task_locality_code(info["Locality"])),
+                _text("status", task_status(_TASK_INFO)),
+                _flag("failed", f"{_TASK_INFO}.Failed"),
+                _text("failureReason", failure_text("`Task End Reason`")),
+                _flag("speculative", f"{_TASK_INFO}.Speculative"),
+                _flag("killed", f"{_TASK_INFO}.Killed"),
+                _flag("finished", task_finished(_TASK_INFO)),
+                _text("executorId", f"{_TASK_INFO}.`Executor ID`"),
+                _long("duration", task_duration(_TASK_INFO)),
+                _flag("successful", task_successful(_TASK_INFO)),
+                _text("host", f"{_TASK_INFO}.Host"),
+                _int("taskLocality", task_locality_code(f"{_TASK_INFO}.Locality")),
                 *counters,
             ),
             finish,
-            # A listener cannot report a task without metrics or finish time.
-            present & metrics.isNotNull() & task_finished(info) if compat else present,
+            measured,
         ),
     ]
 

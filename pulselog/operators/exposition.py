@@ -5,29 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulselog.functions.names import (
-    or_default,
-    sample_line,
-    sanitize_label_name,
-    sanitize_metric_name,
-)
-from pulselog.operators.catalogue import Field, Record
-from pulselog.operators.records import each_record
+from pulselog.functions.names import or_default, sanitize_label_name
+from pulselog.operators.catalogue import Record
+from pulselog.operators.records import as_struct, each_record
 
 INSTANCE = "pulselog"
 # Which entries of a record are numbers for Prometheus: Long only, or Int too.
 NUMERIC_TYPES = {"long": ("bigint",), "all": ("bigint", "int")}
 
 
-def _sample_fields(record: Record, numeric: str) -> list[Field]:
-    """The record's numeric entries, sorted by metric name so that texts are reproducible."""
-    kept = [field for field in record.entries() if field.type in NUMERIC_TYPES[numeric]]
-    return sorted(kept, key=lambda field: field.name.lower())
-
+def sample_values(record: Record, numeric: str = "long") -> dict[str, str]:
+    """Metric name -> SQL of the record's numeric entries, sorted so that texts are reproducible.
 
-def _metric_name(field: Field) -> Column:
-    # Both functions fold to a literal at planning time.
-    return sanitize_metric_name(F.lower(F.lit(field.name)))
+    Entry names are plain letters: lower-casing is all that sanitising does to them.
+    """
+    kept = [field for field in record.entries() if field.type in NUMERIC_TYPES[numeric]]
+    return {
+        field.name.lower(): f"CAST({field.value} AS bigint)"
+        for field in sorted(kept, key=lambda field: field.name.lower())
+    }
 
 
 def prometheus_samples(
@@ -40,19 +36,18 @@ def prometheus_samples(
 ) -> DataFrame:
     """Samples in long form: ``(job, instance, type, appid, metric, value, epochMillis)``."""
 
-    def render(record: Record) -> Column:
+    def render(record: Record) -> str:
         samples = [
-            F.struct(
-                _metric_name(field).alias("metric"),
-                field.value.cast("bigint").alias("value"),
-            )
-            for field in _sample_fields(record, numeric)
+            as_struct({"metric": f"'{metric}'", "value": value})
+            for metric, value in sample_values(record, numeric).items()
         ]
-        return F.struct(
-            record.metric_type.alias("type"),
-            F.col("appId").alias("appid"),
-            record.time.cast("bigint").alias("epochMillis"),
-            F.array(*samples).alias("samples"),
+        return as_struct(
+            {
+                "type": record.metric_type,
+                "appid": "appId",
+                "epochMillis": f"CAST({record.time} AS bigint)",
+                "samples": f"array({', '.join(samples)})",
+            }
         )
 
     return (
@@ -79,17 +74,14 @@ def exposition_text(
 ) -> DataFrame:
     """One text per record: ``(type, appid, text)``, a ``name value`` line per sample."""
 
-    def render(record: Record) -> Column:
+    def render(record: Record) -> str:
+        # A missing value makes its line null, and concat_ws leaves nulls out.
         lines = [
-            sample_line(_metric_name(field), field.value.cast("bigint"))
-            for field in _sample_fields(record, numeric)
+            f"concat('{metric} ', {value})"
+            for metric, value in sample_values(record, numeric).items()
         ]
-        # concat_ws leaves out the null lines of missing values.
-        return F.struct(
-            record.metric_type.alias("type"),
-            F.col("appId").alias("appid"),
-            F.concat(F.concat_ws("\n", *lines), F.lit("\n")).alias("text"),
-        )
+        text = f"concat(concat_ws('\\n', {', '.join(lines)}), '\\n')"
+        return as_struct({"type": record.metric_type, "appid": "appId", "text": text})
 
     return each_record(events, render, extended, compat)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulselog import schema
@@ -17,15 +17,15 @@ def record_table(events: DataFrame, kind: str, compat: bool = False) -> DataFram
     """The table of one record kind: metricType, name, appId, its fields, epochMillis."""
     rows = with_stage_counters(events) if kind == "stage_metrics" else events
     record = kind_record(kind, compat)
-    is_kind = F.col("Event") == schema.KIND_EVENTS[kind]
-    return rows.where(is_kind & record.present).select(
-        record.metric_type.alias("metricType"), *[field.column for field in record.entries()]
+    return rows.where(f"Event = '{schema.KIND_EVENTS[kind]}' AND {record.present}").selectExpr(
+        f"{record.metric_type} AS metricType",
+        *[f"{field.value} AS {field.name}" for field in record.entries()],
     )
 
 
 def each_record(
     events: DataFrame,
-    render: Callable[[Record], Column],
+    render: Callable[[Record], str],
     extended: bool = False,
     compat: bool = False,
 ) -> DataFrame:
@@ -36,18 +36,14 @@ def each_record(
     events are filtered out first, which the sources turn into unparsed lines.
     """
     builders = {**BASIC, **TASK} if extended else BASIC
-    rendered = None
+    branches = []
     for event, builder in builders.items():
-        items = [(record.present, render(record)) for record in builder(compat)]
-        array = F.array(*[F.when(present, item) for present, item in items])
-        condition = F.col("Event") == event
-        rendered = (
-            F.when(condition, array) if rendered is None else rendered.when(condition, array)
-        )
+        items = [f"IF({record.present}, {render(record)}, NULL)" for record in builder(compat)]
+        branches.append(f"WHEN '{event}' THEN array({', '.join(items)})")
     return (
         with_stage_counters(events)
         .where(F.col("Event").isin(*builders))
-        .select(rendered.alias("_records"))
+        .selectExpr(f"CASE Event {' '.join(branches)} END AS _records")
         # explode_outer: for plain explode Spark infers a size filter below the
         # projection and evaluates the whole rendering a second time for it.
         .select(F.explode_outer("_records").alias("_record"))
@@ -56,12 +52,16 @@ def each_record(
     )
 
 
-def as_json(record: Record, epoch: Column | None = None, pretty: bool = False) -> Column:
-    """The record's map as JSON text, missing values as null."""
-    options = {"ignoreNullFields": "false"}
-    if pretty:
-        options["pretty"] = "true"
-    return F.to_json(F.struct(*[field.column for field in record.entries(epoch)]), options)
+def as_struct(columns: dict[str, str]) -> str:
+    """SQL of a struct with the given columns."""
+    return "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in columns.items()) + ")"
+
+
+def as_json(record: Record, epoch: str | None = None, pretty: bool = False) -> str:
+    """SQL of the record's map as JSON text, missing values as null."""
+    options = "'ignoreNullFields', 'false'" + (", 'pretty', 'true'" if pretty else "")
+    content = as_struct({field.name: field.value for field in record.entries(epoch)})
+    return f"to_json({content}, map({options}))"
 
 
 def records(
@@ -75,15 +75,17 @@ def records(
     ``epochMillis`` is the event's own time; ``capture_time`` stamps the time of
     processing instead, as a live listener would.
     """
-    now = F.unix_millis(F.current_timestamp()) if capture_time else None
-
-    def render(record: Record) -> Column:
-        return F.struct(
-            record.metric_type.alias("metricType"),
-            F.lit(record.name).alias("name"),
-            F.col("appId").alias("appId"),
-            (record.time if now is None else now).cast("bigint").alias("epochMillis"),
-            as_json(record, now).alias("payload"),
+    now = "unix_millis(current_timestamp())" if capture_time else None
+
+    def render(record: Record) -> str:
+        return as_struct(
+            {
+                "metricType": record.metric_type,
+                "name": f"'{record.name}'",
+                "appId": "appId",
+                "epochMillis": f"CAST({now or record.time} AS bigint)",
+                "payload": as_json(record, now),
+            }
         )
 
     return each_record(events, render, extended, compat)
@@ -91,35 +93,20 @@ def records(
 
 def application_records(events: DataFrame) -> DataFrame:
     """Application start and end, with the line a driver log would show."""
-    started = F.col("Event") == schema.APPLICATION_START
-    app = F.coalesce(F.col("`App ID`"), F.lit("noAppId"))
-    attempt = F.coalesce(F.col("`App Attempt ID`"), F.lit("N/A"))
-    time = F.col("Timestamp")
-
-    def at_start(value: Column) -> Column:
-        return F.when(started, value)
-
-    start_message = F.concat(
-        F.lit("Spark application started, Application Name: "),
-        F.col("`App Name`"),
-        F.lit(", Application ID: "),
-        app,
-        F.lit(", Time: "),
-        time.cast("string"),
-        F.lit(", Spark User: "),
-        F.col("User"),
-        F.lit(", App Attempt ID: "),
-        attempt,
-    )
-    end_message = F.concat(F.lit("Spark application ended, timestamp = "), time.cast("string"))
+    started = f"Event = '{schema.APPLICATION_START}'"
+    app, attempt = "coalesce(`App ID`, 'noAppId')", "coalesce(`App Attempt ID`, 'N/A')"
+    start_message = f"""concat('Spark application started, Application Name: ', `App Name`,
+        ', Application ID: ', {app}, ', Time: ', Timestamp, ', Spark User: ', User,
+        ', App Attempt ID: ', {attempt})"""
     return events.where(
-        F.col("Event").isin(*schema.APPLICATION_EVENTS) & time.isNotNull()
-    ).select(
-        F.when(started, "application_started").otherwise("application_ended").alias("name"),
-        at_start(F.col("`App Name`")).alias("appName"),
-        F.when(started, app).otherwise(F.col("appId")).alias("appId"),
-        time.alias("time"),
-        at_start(F.col("User")).alias("sparkUser"),
-        at_start(attempt).alias("appAttemptId"),
-        F.when(started, start_message).otherwise(end_message).alias("message"),
+        F.col("Event").isin(*schema.APPLICATION_EVENTS) & F.col("Timestamp").isNotNull()
+    ).selectExpr(
+        f"IF({started}, 'application_started', 'application_ended') AS name",
+        "`App Name` AS appName",
+        f"IF({started}, {app}, appId) AS appId",
+        "Timestamp AS time",
+        "User AS sparkUser",
+        f"IF({started}, {attempt}, NULL) AS appAttemptId",
+        f"""IF({started}, {start_message},
+            concat('Spark application ended, timestamp = ', Timestamp)) AS message""",
     )

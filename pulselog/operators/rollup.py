@@ -18,16 +18,16 @@ def stage_rollup(events: DataFrame) -> DataFrame:
     """
     counters = task_counters()
     return (
-        events.where((F.col("Event") == TASK_END) & F.col("`Task Info`.`Task ID`").isNotNull())
-        .select(
+        events.where(f"Event = '{TASK_END}' AND `Task Info`.`Task ID` IS NOT NULL")
+        .selectExpr(
             "appId",
-            F.col("`Stage ID`").alias("stageId"),
-            F.col("`Stage Attempt ID`").alias("stageAttempt"),
-            *[counter.column for counter in counters],
+            "`Stage ID` AS stageId",
+            "`Stage Attempt ID` AS stageAttempt",
+            *[f"{counter.value} AS {counter.name}" for counter in counters],
         )
         .groupBy("appId", "stageId", "stageAttempt")
         .agg(
             F.count("*").alias("tasks"),
-            *[F.coalesce(F.sum(c.name), F.lit(0)).alias(c.name) for c in counters],
+            *[F.expr(f"coalesce(sum({c.name}), 0L) AS {c.name}") for c in counters],
         )
     )

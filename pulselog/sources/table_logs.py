@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulselog import schema
@@ -132,49 +132,49 @@ def _inputs(table: DataFrame, expressions: dict[str, str]) -> DataFrame:
     return table.selectExpr(*[f"{sql} AS `{name}`" for name, sql in expressions.items()])
 
 
-def _object(**fields: Column) -> Column:
-    return F.struct(*[value.alias(name) for name, value in fields.items()])
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in fields.items()) + ")"
 
 
-def _line(event: str, fields: dict[str, Column]) -> Column:
-    named = [value.alias(name) for name, value in fields.items()]
-    return F.to_json(F.struct(F.lit(event).alias("Event"), *named))
+def _line(event: str, fields: dict[str, str]) -> str:
+    return f"to_json({_struct({'Event': repr(event), **fields})})"
 
 
-def _lines(rows: DataFrame, *lines: Column, app: str = "app_id") -> DataFrame:
+def _lines(rows: DataFrame, *lines: str, app: str = "app_id") -> DataFrame:
     """All lines of a row from one scan of the table."""
-    return rows.select(
-        F.explode(F.array(*lines)).alias("value"), F.col(app).cast("string").alias("appId")
-    )
+    return rows.selectExpr(f"explode(array({', '.join(lines)})) AS value", f"{app} AS appId")
 
 
-def _nested(values: dict[str, Column]) -> Column:
-    """Struct with one level of nesting from dotted names."""
-    groups: dict[str, dict[str, Column]] = {}
-    for path, value in values.items():
+def _nested(paths) -> str:
+    """Struct with one level of nesting, a member per dotted path, valued by the column so named."""
+    groups: dict[str, dict[str, str]] = {}
+    for path in paths:
         head, _, rest = path.partition(".")
-        groups.setdefault(head, {})[rest] = value
-    return _object(
-        **{h: _object(**inner) if "" not in inner else inner[""] for h, inner in groups.items()}
+        groups.setdefault(head, {})[rest] = f"`{path}`"
+    return _struct(
+        {head: inner[""] if "" in inner else _struct(inner) for head, inner in groups.items()}
     )
 
 
+def _with_millis(table: DataFrame, name: str, timestamp: str) -> DataFrame:
+    return table.withColumn(name, epoch_millis(F.col(timestamp)))
+
+
 def task_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A task start and a task end per line item."""
-    items = read_table(spark, sf_dir, "lineitem").withColumn("ship_ms", epoch_millis(F.col("l_shipdate")))
-    rows = _inputs(items, {**TASK, **TASK_COUNTERS})
-
-    def info(finish: Column, getting_result: Column, failed: Column, killed: Column) -> Column:
-        return _object(
-            **{
-                "Task ID": F.col("task_id"),
-                "Index": F.col("attempt"),
-                "Attempt": F.col("attempt"),
-                "Launch Time": F.col("launch_ms"),
-                "Executor ID": F.col("executor_id"),
-                "Host": F.col("host"),
-                "Locality": F.col("locality"),
-                "Speculative": F.col("speculative"),
+    items = _with_millis(read_table(spark, sf_dir, "lineitem"), "ship_ms", "l_shipdate")
+
+    def info(finish: str, getting_result: str, failed: str, killed: str) -> str:
+        return _struct(
+            {
+                "Task ID": "task_id",
+                "Index": "attempt",
+                "Attempt": "attempt",
+                "Launch Time": "launch_ms",
+                "Executor ID": "executor_id",
+                "Host": "host",
+                "Locality": "locality",
+                "Speculative": "speculative",
                 "Getting Result Time": getting_result,
                 "Finish Time": finish,
                 "Failed": failed,
@@ -182,40 +182,30 @@ def task_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         )
 
-    zero, no = F.lit(0).cast("bigint"), F.lit(False)
-    finish = F.when(F.col("unfinished"), zero).otherwise(F.col("launch_ms") + F.col("duration_ms"))
-    failed, killed = F.col("failed"), F.col("killed")
-    reason = _object(
-        **{
-            "Reason": F.when(failed, "ExceptionFailure")
-            .when(killed, "TaskKilled")
-            .otherwise("Success"),
-            "Class Name": F.when(failed, "java.lang.IllegalStateException"),
-            "Description": F.when(failed, F.col("exception")),
-            "Full Stack Trace": F.when(
-                failed,
-                F.concat(
-                    F.lit("java.lang.IllegalStateException: "),
-                    F.col("exception"),
-                    F.lit("\n\tat Job.run"),
-                ),
-            ),
-            "Kill Reason": F.when(killed, "another attempt succeeded"),
+    finish = "IF(unfinished, 0L, launch_ms + duration_ms)"
+    reason = _struct(
+        {
+            "Reason": "CASE WHEN failed THEN 'ExceptionFailure' WHEN killed THEN 'TaskKilled' "
+            "ELSE 'Success' END",
+            "Class Name": "IF(failed, 'java.lang.IllegalStateException', NULL)",
+            "Description": "IF(failed, exception, NULL)",
+            "Full Stack Trace": "IF(failed, concat("
+            "'java.lang.IllegalStateException: ', exception, '\\n\\tat Job.run'), NULL)",
+            "Kill Reason": "IF(killed, 'another attempt succeeded', NULL)",
         }
     )
-    metrics = _nested({path: F.col(f"`{path}`") for path in TASK_COUNTERS})
-    stage = {"Stage ID": F.col("stage_id"), "Stage Attempt ID": F.col("stage_attempt")}
+    stage = {"Stage ID": "stage_id", "Stage Attempt ID": "stage_attempt"}
     return _lines(
-        rows,
-        _line(schema.TASK_START, {**stage, "Task Info": info(zero, zero, no, no)}),
+        _inputs(items, {**TASK, **TASK_COUNTERS}),
+        _line(schema.TASK_START, {**stage, "Task Info": info("0L", "0L", "false", "false")}),
         _line(
             schema.TASK_END,
             {
                 **stage,
-                "Task Type": F.lit("ResultTask"),
+                "Task Type": "'ResultTask'",
                 "Task End Reason": reason,
-                "Task Info": info(finish, F.col("getting_result_ms"), failed, killed),
-                "Task Metrics": F.when(~F.col("without_metrics"), metrics),
+                "Task Info": info(finish, "getting_result_ms", "failed", "killed"),
+                "Task Metrics": f"IF(without_metrics, NULL, {_nested(TASK_COUNTERS)})",
             },
         ),
     )
@@ -223,7 +213,7 @@ def task_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stage submission and a stage completion per supplier that occurs in line items."""
-    items = read_table(spark, sf_dir, "lineitem").withColumn("ship_ms", epoch_millis(F.col("l_shipdate")))
+    items = _with_millis(read_table(spark, sf_dir, "lineitem"), "ship_ms", "l_shipdate")
     inputs = {"ship_ms": "ship_ms", "l_suppkey": "l_suppkey", **TASK_COUNTERS}
     stages = (
         _inputs(items, inputs)
@@ -231,125 +221,104 @@ def stage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.min("ship_ms").alias("submitted"),
             F.max("ship_ms").alias("completed"),
-            F.count("*").cast("int").alias("tasks"),
-            *[F.sum(f"`{path}`").alias(path) for path in TASK_COUNTERS],
+            F.expr("CAST(count(*) AS int) AS tasks"),
+            *[F.expr(f"sum(`{path}`) AS `{path}`") for path in TASK_COUNTERS],
         )
     )
-    rows = stages.selectExpr("*", *[f"{sql} AS {name}" for name, sql in STAGE.items()])
     accumulators = {
-        path: accumulator
+        path: schema.ACCUMULATOR_PREFIX + accumulator
         for counter in schema.COUNTERS
         for path, accumulator in zip(counter.task, counter.stage, strict=True)
     }
-    accumulated = F.filter(
-        F.array(
-            *[
-                _object(
-                    Name=F.lit(schema.ACCUMULATOR_PREFIX + accumulators[path]),
-                    Value=F.col(f"`{path}`"),
-                )
-                for path in TASK_COUNTERS
-            ]
-        ),
-        lambda item: item["Value"] != 0,
+    totals = ", ".join(
+        _struct({"Name": f"'{accumulators[path]}'", "Value": f"`{path}`"})
+        for path in TASK_COUNTERS
     )
-    submitted = F.when(~F.col("no_submission"), F.col("submitted"))
-
-    def info(**more: Column) -> Column:
-        return _object(
-            **{
-                "Stage ID": F.col("l_suppkey"),
-                "Stage Attempt ID": F.lit(0),
-                "Stage Name": F.lit("stage"),
-                "Number of Tasks": F.col("tasks"),
-                "Submission Time": submitted,
-                **more,
-            }
-        )
-
-    done = {
-        "Completion Time": F.col("completed"),
-        "Failure Reason": F.col("failure"),
-        "Accumulables": accumulated,
+    identity = {
+        "Stage ID": "l_suppkey",
+        "Stage Attempt ID": "0",
+        "Stage Name": "'stage'",
+        "Number of Tasks": "tasks",
+        "Submission Time": "IF(no_submission, NULL, submitted)",
+    }
+    outcome = {
+        "Completion Time": "completed",
+        "Failure Reason": "failure",
+        "Accumulables": f"filter(array({totals}), a -> a.Value != 0)",
     }
     return _lines(
-        rows,
-        _line(schema.STAGE_SUBMITTED, {"Stage Info": info()}),
-        _line(schema.STAGE_COMPLETED, {"Stage Info": info(**done)}),
+        stages.selectExpr("*", *[f"{sql} AS {name}" for name, sql in STAGE.items()]),
+        _line(schema.STAGE_SUBMITTED, {"Stage Info": _struct(identity)}),
+        _line(schema.STAGE_COMPLETED, {"Stage Info": _struct({**identity, **outcome})}),
     )
 
 
 def job_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A job start and a job end per order."""
-    orders = read_table(spark, sf_dir, "orders").withColumn("order_ms", epoch_millis(F.col("o_orderdate")))
-    result = _object(
-        Result=F.when(F.col("failed"), "JobFailed").otherwise("JobSucceeded"),
-        Exception=F.when(F.col("failed"), _object(Message=F.col("message"))),
+    orders = _with_millis(read_table(spark, sf_dir, "orders"), "order_ms", "o_orderdate")
+    result = _struct(
+        {
+            "Result": "IF(failed, 'JobFailed', 'JobSucceeded')",
+            "Exception": f"IF(failed, {_struct({'Message': 'message'})}, NULL)",
+        }
     )
-    job = {"Job ID": F.col("job_id")}
+    job = {"Job ID": "job_id"}
     return _lines(
         _inputs(orders, JOB),
-        _line(schema.JOB_START, {**job, "Submission Time": F.col("start_ms")}),
-        _line(schema.JOB_END, {**job, "Completion Time": F.col("end_ms"), "Job Result": result}),
+        _line(schema.JOB_START, {**job, "Submission Time": "start_ms"}),
+        _line(schema.JOB_END, {**job, "Completion Time": "end_ms", "Job Result": result}),
     )
 
 
 def executor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An executor added, removed and excluded per supplier."""
-    executor = {"Timestamp": F.col("time_ms"), "Executor ID": F.col("executor_id")}
-    info = _object(**{"Host": F.col("host"), "Total Cores": F.col("cores")})
-    excluded = {
-        "time": F.col("time_ms"),
-        "executorId": F.col("executor_id"),
-        "taskFailures": F.col("failures"),
-    }
+    executor = {"Timestamp": "time_ms", "Executor ID": "executor_id"}
+    info = _struct({"Host": "host", "Total Cores": "cores"})
+    excluded = {"time": "time_ms", "executorId": "executor_id", "taskFailures": "failures"}
     return _lines(
         _inputs(read_table(spark, sf_dir, "supplier"), EXECUTOR),
         _line(schema.EXECUTOR_ADDED, {**executor, "Executor Info": info}),
-        _line(schema.EXECUTOR_REMOVED, {**executor, "Removed Reason": F.col("reason")}),
+        _line(schema.EXECUTOR_REMOVED, {**executor, "Removed Reason": "reason"}),
         _line(schema.EXECUTOR_EXCLUDED, excluded),
     )
 
 
 def sql_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A SQL execution start and end per row of `events`."""
-    events = read_table(spark, sf_dir, "events").withColumn("event_ms", epoch_millis(F.col("ts")))
-    query = {"executionId": F.col("query_id")}
+    events = _with_millis(read_table(spark, sf_dir, "events"), "event_ms", "ts")
+    query = {"executionId": "query_id"}
     return _lines(
         _inputs(events, SQL),
-        _line(
-            schema.SQL_START,
-            {**query, "description": F.col("description"), "time": F.col("start_ms")},
-        ),
-        _line(schema.SQL_END, {**query, "time": F.col("end_ms")}),
+        _line(schema.SQL_START, {**query, "description": "description", "time": "start_ms"}),
+        _line(schema.SQL_END, {**query, "time": "end_ms"}),
     )
 
 
 def application_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An application start and end per customer."""
     start = {
-        "App Name": F.col("app_name"),
-        "App ID": F.col("app_id"),
-        "Timestamp": F.col("time_ms"),
-        "User": F.col("user"),
-        "App Attempt ID": F.col("attempt"),
+        "App Name": "app_name",
+        "App ID": "app_id",
+        "Timestamp": "time_ms",
+        "User": "user",
+        "App Attempt ID": "attempt",
     }
     return _lines(
         _inputs(read_table(spark, sf_dir, "customer"), APPLICATION),
-        _line(schema.APPLICATION_START, start),
-        _line(schema.APPLICATION_END, {"Timestamp": F.col("time_ms")}),
+        _line(schema.APPLICATION_START, {name: f"`{column}`" for name, column in start.items()}),
+        _line(schema.APPLICATION_END, {"Timestamp": "time_ms"}),
         app="log_app",
     )
 
 
 def block_manager_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An event without a record per nation."""
-    manager = _object(**{"Executor ID": F.lit("driver"), "Host": F.col("host"), "Port": F.lit(7000)})
+    manager = _struct({"Executor ID": "'driver'", "Host": "host", "Port": "7000"})
     return _lines(
         _inputs(read_table(spark, sf_dir, "nation"), BLOCK_MANAGER),
         _line(
             "SparkListenerBlockManagerAdded",
-            {"Block Manager ID": manager, "Maximum Memory": F.lit(1), "Timestamp": F.col("time_ms")},
+            {"Block Manager ID": manager, "Maximum Memory": "1", "Timestamp": "time_ms"},
         ),
     )
 
