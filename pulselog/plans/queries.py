@@ -62,8 +62,12 @@ def _basic_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_events(logs.basic_lines(spark, sf_dir), schema.BASIC_KINDS)
 
 
+def _extended_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logs.task_lines(spark, sf_dir).union(logs.basic_lines(spark, sf_dir))
+
+
 def _extended_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_events(logs.all_lines(spark, sf_dir), schema.EXTENDED_KINDS)
+    return parse_events(_extended_lines(spark, sf_dir), schema.EXTENDED_KINDS)
 
 
 def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +184,7 @@ def sanitize(function) -> Query:
 def event_stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the log as sealed files per application, then streams records from them."""
     log, out = scratch_dir(spark, "event-log"), scratch_dir(spark, "stream-records")
-    lines = logs.all_lines(spark, sf_dir)
+    lines = _extended_lines(spark, sf_dir)
     lines.write.partitionBy("appId").option("compression", "gzip").text(log)
     events = read_event_stream(spark, log, schema.EXTENDED_KINDS)
     checkpoint = scratch_dir(spark, "checkpoint")

@@ -1,0 +1,182 @@
+"""Hand-written event-log lines: one per event type and the awkward cases."""
+
+import json
+
+
+def _line(event, **fields):
+    return json.dumps({"Event": event, **fields}, separators=(",", ":"))
+
+
+def _stage(**more):
+    return {"Stage ID": 3, "Stage Attempt ID": 1, "Number of Tasks": 2, **more}
+
+
+def _task(**more):
+    return {
+        "Task ID": 7,
+        "Index": 0,
+        "Attempt": 1,
+        "Launch Time": 1000,
+        "Executor ID": "5",
+        "Host": "h1",
+        "Locality": "RACK_LOCAL",
+        "Speculative": False,
+        "Getting Result Time": 0,
+        "Finish Time": 1500,
+        "Failed": False,
+        "Killed": False,
+        **more,
+    }
+
+
+METRICS = {
+    "Executor Run Time": 1,
+    "Executor CPU Time": 2,
+    "Executor Deserialize CPU Time": 3,
+    "Executor Deserialize Time": 4,
+    "JVM GC Time": 5,
+    "Memory Bytes Spilled": 6,
+    "Peak Execution Memory": 7,
+    "Result Serialization Time": 8,
+    "Result Size": 9,
+    "Input Metrics": {"Bytes Read": 10, "Records Read": 11},
+    "Output Metrics": {"Bytes Written": 12, "Records Written": 13},
+    "Shuffle Read Metrics": {
+        "Remote Blocks Fetched": 14,
+        "Local Blocks Fetched": 15,
+        "Fetch Wait Time": 16,
+        "Remote Bytes Read": 17,
+        "Remote Bytes Read To Disk": 18,
+        "Local Bytes Read": 19,
+        "Total Records Read": 20,
+    },
+    "Shuffle Write Metrics": {
+        "Shuffle Bytes Written": 21,
+        "Shuffle Write Time": 22,
+        "Shuffle Records Written": 23,
+    },
+    "Updated Blocks": [],
+}
+COUNTER_VALUES = {
+    "executorRunTime": 1,
+    "executorCpuTime": 2,
+    "executorDeserializeCpuTime": 3,
+    "executorDeserializeTime": 4,
+    "jvmGCTime": 5,
+    "memoryBytesSpilled": 6,
+    "peakExecutionMemory": 7,
+    "resultSerializationTime": 8,
+    "resultSize": 9,
+    "bytesRead": 10,
+    "recordsRead": 11,
+    "bytesWritten": 12,
+    "recordsWritten": 13,
+    "shuffleTotalBytesRead": 36,
+    "shuffleRemoteBytesRead": 17,
+    "shuffleRemoteBytesReadToDisk": 18,
+    "shuffleLocalBytesRead": 19,
+    "shuffleTotalBlocksFetched": 29,
+    "shuffleLocalBlocksFetched": 15,
+    "shuffleRemoteBlocksFetched": 14,
+    "shuffleRecordsRead": 20,
+    "shuffleFetchWaitTime": 16,
+    "shuffleBytesWritten": 21,
+    "shuffleRecordsWritten": 23,
+    "shuffleWriteTime": 22,
+}
+
+_SQL = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecution"
+_ACCUMULABLES = [
+    {"ID": 1, "Name": "number of output rows", "Value": "99"},
+    {"ID": 2, "Name": "number of output rows", "Value": "98"},
+    {"ID": 3, "Name": "internal.metrics.executorRunTime", "Value": 40},
+    {"ID": 4, "Name": "internal.metrics.executorCpuTime", "Value": 41},
+    {"ID": 5, "Name": "internal.metrics.shuffle.read.remoteBytesRead", "Value": 50},
+    {"ID": 6, "Name": "internal.metrics.shuffle.read.localBytesRead", "Value": 8},
+    {"ID": 7, "Name": "internal.metrics.updatedBlockStatuses", "Value": [{"a": 1}]},
+    {"ID": 8, "Name": "internal.metrics.executorRunTime", "Value": 77},
+]
+_FAILED_TASK = {"Reason": "ExceptionFailure", "Class Name": "E", "Description": "bad"}
+
+LINES = [
+    _line("SparkListenerLogStart", **{"Spark Version": "4.1.2"}),
+    _line(
+        "SparkListenerApplicationStart",
+        **{"App Name": "demo", "App ID": "app-9", "Timestamp": 100, "User": "u"},
+    ),
+    _line(
+        "SparkListenerExecutorAdded",
+        **{"Timestamp": 200, "Executor ID": "5", "Executor Info": {"Host": "h1", "Total Cores": 4}},
+    ),
+    _line(_SQL + "Start", executionId=0, description="show", details="…", time=300),
+    _line("SparkListenerJobStart", **{"Job ID": 2, "Submission Time": 400, "Stage Infos": []}),
+    _line("SparkListenerStageSubmitted", **{"Stage Info": _stage()}),
+    _line(
+        "SparkListenerTaskStart",
+        **{
+            "Stage ID": 3,
+            "Stage Attempt ID": 1,
+            "Task Info": _task(**{"Finish Time": 0}),
+        },
+    ),
+    _line(
+        "SparkListenerTaskEnd",
+        **{
+            "Stage ID": 3,
+            "Stage Attempt ID": 1,
+            "Task Type": "ResultTask",
+            "Task End Reason": {"Reason": "Success"},
+            "Task Info": _task(),
+            "Task Metrics": METRICS,
+        },
+    ),
+    _line(
+        "SparkListenerTaskEnd",
+        **{
+            "Stage ID": 3,
+            "Stage Attempt ID": 1,
+            "Task Type": "ResultTask",
+            "Task End Reason": _FAILED_TASK,
+            "Task Info": _task(**{"Task ID": 8, "Failed": True, "Locality": "MOON"}),
+        },
+    ),
+    _line(
+        "SparkListenerStageCompleted",
+        **{
+            "Stage Info": _stage(
+                **{
+                    "Submission Time": 900,
+                    "Completion Time": 1600,
+                    "Failure Reason": 'lost\n"x"',
+                    "Accumulables": _ACCUMULABLES,
+                }
+            )
+        },
+    ),
+    _line(
+        "SparkListenerJobEnd",
+        **{
+            "Job ID": 2,
+            "Completion Time": 1700,
+            "Job Result": {"Result": "JobFailed", "Exception": {"Message": "boom"}},
+        },
+    ),
+    _line(_SQL + "End", executionId=0, time=1800, errorMessage="boom"),
+    _line(
+        "org.apache.spark.scheduler.SparkListenerExecutorExcluded",
+        time=1900,
+        executorId="5",
+        taskFailures=2,
+    ),
+    _line(
+        "SparkListenerExecutorRemoved",
+        **{"Timestamp": 2000, "Executor ID": "5", "Removed Reason": "idle"},
+    ),
+    # another key order and spacing than Spark's own
+    '{"Job ID": 6, "Submission Time": 2100, "Event": "SparkListenerJobStart"}',
+    _line("SparkListenerApplicationEnd", Timestamp=2200),
+    # what a crash leaves behind, a blank line, no JSON at all
+    '{"Event":"SparkListenerJobEnd","Job ID":2,"Completion Ti',
+    "",
+    "SparkListenerJobEnd",
+]
