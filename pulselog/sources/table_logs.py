@@ -141,8 +141,13 @@ def _line(event: str, fields: dict[str, str]) -> str:
 
 
 def _lines(rows: DataFrame, *lines: str, app: str = "app_id") -> DataFrame:
-    """All lines of a row from one scan of the table."""
-    return rows.selectExpr(f"explode(array({', '.join(lines)})) AS value", f"{app} AS appId")
+    """All lines of a row from one scan of the table.
+
+    The texts are built in a projection below the generator (kept there by
+    explode_outer, see ``each_record``), where they are generated code in any plan.
+    """
+    texts = rows.selectExpr(f"array({', '.join(lines)}) AS _lines", f"{app} AS appId")
+    return texts.select(F.explode_outer("_lines").alias("value"), "appId")
 
 
 def _nested(paths) -> str:
