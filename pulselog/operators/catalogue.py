@@ -93,7 +93,7 @@ def _path(path: str) -> str:
 def with_stage_counters(events: DataFrame) -> DataFrame:
     """Adds the stage's accumulator values as ``map<suffix, bigint>``.
 
-    Built in a projection of its own, once per row, because all stage counters
+    Built in projections of its own, once per row, because all stage counters
     look into it.  Should a name come up twice, the first entry counts.
     """
     if "Stage Info" not in events.columns:
@@ -101,14 +101,18 @@ def with_stage_counters(events: DataFrame) -> DataFrame:
     prefix = schema.ACCUMULATOR_PREFIX
     internal = f"filter(`Stage Info`.Accumulables, a -> startswith(a.Name, '{prefix}'))"
     first = (
-        f"filter({internal}, (a, i) -> "
-        f"array_position(transform({internal}, b -> b.Name), a.Name) = i + 1)"
+        "filter(_internal, (a, i) -> "
+        "array_position(transform(_internal, b -> b.Name), a.Name) = i + 1)"
     )
     entries = (
         f"transform({first}, a -> struct("
         f"substring(a.Name, {len(prefix) + 1}), try_cast(a.Value AS bigint)))"
     )
-    return events.withColumn(STAGE_COUNTERS, F.expr(f"map_from_entries({entries})"))
+    return (
+        events.withColumn("_internal", F.expr(internal))
+        .withColumn(STAGE_COUNTERS, F.expr(f"map_from_entries({entries})"))
+        .drop("_internal")
+    )
 
 
 def task_counters() -> list[Field]:

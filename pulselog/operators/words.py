@@ -15,22 +15,21 @@ def words(lines: DataFrame) -> DataFrame:
     )
 
 
+def _counts(lines: DataFrame) -> DataFrame:
+    return words(lines).groupBy("word").agg(F.count("word").alias("count"))
+
+
 def word_count(lines: DataFrame) -> DataFrame:
-    """``(word, count)``, most frequent first.
+    """``(word, count)``, most frequent first, ties in alphabetical order.
 
     Words are counted per task before the shuffle, so a word that makes up a
-    third of the text still arrives as one row per task; the sort sees distinct
-    words only.
+    third of the text still arrives as one row per task.  The tie-break is what
+    lets the sort spread: about half of all distinct words occur once, and by
+    count alone they would all fall into one range.
     """
-    return (
-        words(lines)
-        .groupBy("word")
-        .agg(F.count("word").alias("count"))
-        .orderBy(F.desc_nulls_last("count"))
-    )
+    return _counts(lines).orderBy(F.desc_nulls_last("count"), "word")
 
 
 def top_words(lines: DataFrame, n: int = 20) -> DataFrame:
-    """The first ``n`` rows of the word count; ties in alphabetical order."""
-    counts = words(lines).groupBy("word").agg(F.count("word").alias("count"))
-    return counts.orderBy(F.desc_nulls_last("count"), "word").limit(n)
+    """The first ``n`` rows of the word count."""
+    return word_count(lines).limit(n)
