@@ -78,11 +78,12 @@ def deliver(
     """Sends all requests, each partition over its own connection; failures are counted.
 
     Nothing is retried and nothing raised.  ``connections`` bounds how many
-    partitions talk to the gateway at the same time.
+    partitions talk to the gateway at the same time; the requests are moved for
+    it, so that parsing them keeps its own parallelism.
     """
     rows = requests.select("url", "content_type", "body")
     if connections:
-        rows = rows.coalesce(connections)
+        rows = rows.repartition(connections)
     counts = rows.mapInArrow(
         lambda batches: _send(batches, transport), "delivered bigint, failed bigint"
     )
