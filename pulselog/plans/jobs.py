@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,6 +14,8 @@ from pulselog.settings import Settings
 from pulselog.sinks.push import Transport, http_post
 from pulselog.sources import read_event_stream, read_lines
 
+log = logging.getLogger(__name__)
+
 
 def telemetry(
     spark: SparkSession,
@@ -29,7 +33,10 @@ def telemetry(
         def push(batch: DataFrame, batch_id: int) -> None:
             texts = ops.exposition_text(batch, settings.extended, compat)
             requests = ops.push_requests(texts, settings.push_gateway, settings.job)
-            sinks.deliver(requests, transport)
+            outcome = sinks.deliver(requests, transport)
+            if outcome.failed:
+                total = outcome.failed + outcome.delivered
+                log.warning("batch %d: %d of %d pushes failed", batch_id, outcome.failed, total)
 
         targets["push"] = push
     if settings.kafka_broker or settings.kafka_topic:
