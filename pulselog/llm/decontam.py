@@ -26,6 +26,11 @@ def _words(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
+def _at(words: str, place: Column) -> Column:
+    """The word at a place; null before the first and behind the last."""
+    return F.when(place >= 0, F.get(words, place))
+
+
 def _seeds(rows: DataFrame) -> DataFrame:
     """The columns of ``rows`` (with ``words``), each window's ``at`` and its ``seed`` per mask."""
     last = F.size("words") - 1 - min(m[-1] for m in MASKS)
@@ -50,21 +55,26 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     Rows with a null doc_id or item_id are left out; repeated rows and ties give one row for each
     pair of ids. Extra columns play no part.
     """
-    test = items.where("item_id is not null").select("item_id", _words(F.col("text")).alias("words"))
-    test = _seeds(test).select(
-        "seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item")
+    items = items.where("item_id is not null").select(
+        "item_id", _words(F.col("text")).alias("words")
+    )
+    test = _seeds(items).select(
+        "seed", "item_id", F.col("at").alias("item_at"), F.size("words").alias("length")
     )
-    if test.count() <= BROADCAST_SEEDS:
-        test = F.broadcast(test)
+    small = test.count() <= BROADCAST_SEEDS
+    test = F.broadcast(test) if small else test
     words = docs.where("doc_id is not null").select("doc_id", _words(F.col("text")).alias("words"))
     hits = _seeds(words).join(test, "seed")
     start = F.col("at") - F.col("item_at")
-    # Only the words along the item go on, not the document; places outside it are null.
-    aligned = F.transform("item", lambda _, k: F.get("words", start + k))
-    hits = hits.select("doc_id", "item_id", start.alias("doc_word"), "item", aligned.alias("own"))
-    hits = hits.dropDuplicates(["doc_id", "item_id", "doc_word", "own", "item"])
-    equal = F.zip_with(
-        "own", "item", lambda a, b: F.when(a.eqNullSafe(b), F.lit(1)).otherwise(F.lit(0))
+    # Only the words along the item go on, never the whole document with every hit.
+    along = F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("length"))
+    hits = hits.select("doc_id", "item_id", start.alias("doc_word"), along.alias("own")).distinct()
+    items = items.withColumnRenamed("words", "item").distinct()
+    hits = hits.join(F.broadcast(items) if small else items, "item_id")
+    ahead = F.least(F.col("doc_word"), F.lit(0))
+    equal = F.transform(
+        "item",
+        lambda w, k: F.when(w.eqNullSafe(_at("own", k + ahead)), F.lit(1)).otherwise(F.lit(0)),
     )
     hits = hits.select("doc_id", "item_id", "doc_word", equal.alias("equal"))
     width = F.least(F.size("equal"), F.lit(STRETCH))

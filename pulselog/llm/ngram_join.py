@@ -343,7 +343,7 @@ def _traverse_root(table: pa.Table) -> pa.Table:
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(features with each document's ``node``, links (a, b) between nodes).
+    """(each document's size and ``node``, the component of each linked node).
 
     Documents with equal sets are one node, named by their smallest doc_id.
     """
@@ -402,7 +402,10 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     rest = torn.groupBy("root", "left", "right").applyInArrow(_traverse_root, "a bigint, b bigint")
     rest = written(rest.where("a <> b").distinct().join(near, ["a", "b"], "left_anti"), "rest")
-    return classes, found.union(verified(rest))
+    more = verified(rest)
+    if not more.isEmpty():
+        groups = components(found.union(more))
+    return classes, groups
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -412,8 +415,7 @@ def groups(docs: DataFrame) -> DataFrame:
     rows; rows that share a doc_id count as one document for links. A null doc_id is linked with
     nothing and has a null component. Other columns play no part.
     """
-    classes, pairs = links(docs)
-    joined = components(pairs)
+    classes, joined = links(docs)
     return classes.join(joined, "node", "left").select(
         F.col("doc").alias("doc_id"),
         F.col("size").alias("n_shingles"),
