@@ -79,7 +79,10 @@ def span_hashes(hashes, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
 
 
 def packed(buckets: np.ndarray, records: np.ndarray) -> pa.RecordBatch:
-    """One row for each bucket with all its fixed-width records as one binary."""
+    """One row for each bucket with all its fixed-width records as one binary, field by field.
+
+    Records keep their order within a bucket; equal neighbours in a field compress well then.
+    """
     order = np.argsort(buckets, kind="stable")
     buckets, records = buckets[order], records[order]
     starts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(buckets) else []
@@ -87,12 +90,32 @@ def packed(buckets: np.ndarray, records: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(buckets[starts].astype(np.int32) if len(buckets) else [], pa.int32()),
-            pa.array([records[i:j].tobytes() for i, j in zip(starts, stops)], pa.binary()),
+            pa.array([_columns(records[i:j]) for i, j in zip(starts, stops)], pa.binary()),
         ],
         ["bucket", "blob"],
     )
 
 
+def _columns(records: np.ndarray) -> bytes:
+    names = records.dtype.names
+    return b"".join(records[n].tobytes() for n in names) if names else records.tobytes()
+
+
+def unpacked(blobs: list[bytes], kind: np.dtype) -> np.ndarray:
+    """The records of ``packed`` binaries, one after another."""
+    counts = [len(b) // kind.itemsize for b in blobs]
+    out, at = np.empty(sum(counts), kind), 0
+    for blob, n in zip(blobs, counts):
+        start = 0
+        for name in kind.names or (None,):
+            field = kind[name] if name else kind
+            view = out[name] if name else out
+            view[at : at + n] = np.frombuffer(blob, field, n, start)
+            start += n * field.itemsize
+        at += n
+    return out
+
+
 PACKED = "bucket int, blob binary"
 
 

@@ -27,6 +27,7 @@ from pulselog.llm.common import (
     prefix_hashes,
     row_spans,
     span_hashes,
+    unpacked,
     utf8,
     written,
 )
@@ -41,7 +42,9 @@ FANOUT = 8
 #: A tree holds up to so many documents; larger roots become several trees, joined in pairs.
 TREE = 1024
 
-PART = np.dtype([("key", "u8"), ("node", "i8"), ("size", "i4")])
+#: Five bytes of a part's hash deal it out: a chance collision costs a comparison, no result.
+KEY = 5
+PART = np.dtype([("node", "i8"), ("size", "i4"), ("low", "u4"), ("high", "u1")])
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -131,7 +134,8 @@ def _features(batches):
             order = np.argsort(owner, kind="stable")
             owner, key = owner[order], key[order]
             cut = np.searchsorted(owner, np.arange(n + 1))
-            parts = [key[cut[k] : cut[k + 1]].tobytes() for k in range(n)]
+            short = np.ascontiguousarray(key.view(np.uint8).reshape(-1, 8)[:, :KEY]).tobytes()
+            parts = [short[KEY * cut[k] : KEY * cut[k + 1]] for k in range(n)]
             yield pa.RecordBatch.from_arrays(
                 [
                     doc.slice(i, n),
@@ -145,34 +149,43 @@ def _features(batches):
 
 
 def _deal(n: int):
+    def flush(kept):
+        own = np.concatenate(kept)
+        return packed(own["low"] % np.uint32(n), own)
+
     def run(batches):
         kept, total = [], 0
         for batch in batches:
             parts = batch.column("parts").to_pylist()
-            count = [len(p) // 8 for p in parts]
+            count = [len(p) // KEY for p in parts]
             own = np.zeros(sum(count), PART)
-            own["key"] = np.frombuffer(b"".join(parts), np.uint64)
+            key = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, KEY)
+            own["low"] = np.ascontiguousarray(key[:, :4]).view(np.uint32).ravel()
+            own["high"] = key[:, 4]
             own["node"] = np.repeat(batch.column("node").to_numpy(), count)
             own["size"] = np.repeat(batch.column("size").to_numpy(), count)
             kept.append(own)
             total += len(own)
             if total >= 1 << 20:
-                own = np.concatenate(kept)
-                yield packed((own["key"] >> np.uint64(3)) % np.uint64(n), own)
+                yield flush(kept)
                 kept, total = [], 0
         if kept:
-            own = np.concatenate(kept)
-            yield packed((own["key"] >> np.uint64(3)) % np.uint64(n), own)
+            yield flush(kept)
 
     return run
 
 
 def _neighbours(bucket: int, blobs: list[bytes]) -> pa.Table:
     """Neighbours by size among the documents that share a part."""
-    rows = np.frombuffer(b"".join(blobs), PART)
-    rows = rows[np.lexsort((rows["node"], rows["size"], rows["key"]))]
-    same = np.flatnonzero((rows["key"][1:] == rows["key"][:-1]) & (rows["node"][1:] != rows["node"][:-1]))
-    a, b = rows["node"][same], rows["node"][same + 1]
+    rows = unpacked(blobs, PART)
+    key = rows["low"].astype(np.uint64) << np.uint64(8) | rows["high"]
+    order = np.lexsort((rows["node"], rows["size"], key))
+    key, node, size = key[order], rows["node"][order], rows["size"][order].astype(np.int64)
+    same = (key[1:] == key[:-1]) & (node[1:] != node[:-1])
+    # Sizes ascend: a set further on that may link makes all sets between them apt as well.
+    same &= 100 * size[:-1] >= PERCENT * size[1:]
+    at = np.flatnonzero(same)
+    a, b = node[at], node[at + 1]
     pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -361,7 +374,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     first = classes.where("doc = node").select("node", "low", "high").distinct()
     nodes = features.withColumnRenamed("doc", "node").join(first, ["node", "low", "high"])
-    nodes = nodes.select("node", "size", "parts").dropDuplicates(["node", "size"])
+    nodes = nodes.dropDuplicates(["node", "low", "high"]).select("node", "size", "parts")
     near = nodes.mapInArrow(_deal(4 * parts), "bucket int, blob binary")
     near = written(by_bucket(near, _neighbours, "a bigint, b bigint").distinct(), "near")
     roots = written(components(near).withColumnRenamed("component", "root"), "roots")
