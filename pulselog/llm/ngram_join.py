@@ -4,7 +4,7 @@ A document is its set of word shingles. Two sets of Jaccard 0.9 or more differ i
 when each set is split by hash into more parts than that, one part is equal in both. Equal parts
 are the roots: documents without a shared part cannot reach the overlap and are pruned at once.
 
-Within a root a signature tree holds the documents: leaves by size, every node with the OR of its
+Within a root and size class a signature tree holds the documents: leaves by size, every node with the OR of its
 documents' token bitmaps and their range of sizes. Two nodes are traversed together, from the top,
 and a pair of nodes is dropped when the largest overlap their bitmaps and sizes allow is too small.
 What is left is compared exactly. Before that, neighbours by size in each part are compared, so
@@ -88,17 +88,22 @@ def required(a, b):
     return -(-PERCENT * (a + b) // (100 + PERCENT))
 
 
-def _parts(row: np.ndarray, h: np.ndarray, sizes: np.ndarray):
-    """(row, key): hashes of the parts of each row's set, for its own size class and the next
-    one where a partner may be in that."""
-    rows, keys = [], []
+def _classes(sizes: np.ndarray):
+    """(class, largest size, apt) of sets: their own size class, then the next one, which a set
+    enters only if a linked partner may be in it."""
     level = np.floor(np.log(np.maximum(sizes, 1)) / np.log(CLASS) + 1e-9).astype(np.int64)
     for up in (0, 1):
         klass = level + up
         ceiling = np.floor(CLASS ** (klass + 1) + 1e-6).astype(np.int64)
         # The larger set of a linked pair has at most size * 100 / PERCENT elements.
         floor = np.ceil(CLASS**klass - 1e-6).astype(np.int64)
-        apt = (sizes > 0) & ((up == 0) | (sizes * 100 >= PERCENT * floor))
+        yield klass, ceiling, (sizes > 0) & ((up == 0) | (sizes * 100 >= PERCENT * floor))
+
+
+def _parts(row: np.ndarray, h: np.ndarray, sizes: np.ndarray):
+    """(row, key): hashes of the parts of each row's set, in each of its classes."""
+    rows, keys = [], []
+    for klass, ceiling, apt in _classes(sizes):
         number = 2 * ceiling * (100 - PERCENT) // (100 + PERCENT) + 1
         take = apt[row]
         r, x = row[take], h[take]
@@ -306,52 +311,50 @@ def traverse(one: Tree, two: Tree, same: bool):
     return i, j
 
 
-def bitmaps(tokens: list[bytes], words: int) -> np.ndarray:
-    """(documents, words): a bit for each token's hash."""
-    out = np.zeros((len(tokens), words * 64), np.uint8)
-    for k, t in enumerate(tokens):
-        out[k, (np.frombuffer(t, np.uint64) >> np.uint64(7)) % np.uint64(words * 64)] = 1
-    return np.packbits(out, axis=1).view(np.uint64)
+SIGNED = "root bigint, class bigint, node bigint, component bigint, size bigint, bits binary"
 
 
-def _grow(names: list[int], sizes, tokens, groups):
-    """A tree of the documents, and their names and groups in its order."""
-    order = np.argsort(sizes, kind="stable")
-    words = 1 << int(np.ceil(np.log2(max(1, 8 * int(np.max(sizes)) // 64))))
-    maps = bitmaps([tokens[k] for k in order], words)
-    return Tree(np.asarray(sizes)[order], maps), np.asarray(names)[order], np.asarray(groups)[order], words
+def bitmap(tokens: np.ndarray, largest: int) -> np.ndarray:
+    """A bit for each token's hash; as wide for all sets of a class, about eight bits a token."""
+    words = 1 << max(0, int(np.ceil(np.log2(8 * largest / 64))))
+    out = np.zeros(words * 64, np.uint8)
+    out[(tokens >> np.uint64(7)) % np.uint64(words * 64)] = 1
+    return np.packbits(out)
 
 
-def _fold(tree: Tree, words: int) -> Tree:
-    maps = tree.bitmaps
-    while maps.shape[1] > words:
-        half = maps.shape[1] // 2
-        maps = maps[:, :half] | maps[:, half:]
-    return Tree(tree.sizes, np.ascontiguousarray(maps))
+def _sign(batches):
+    """Each document's signature in each of its classes."""
+    for batch in batches:
+        rows = []
+        for row in batch.to_pylist():
+            tokens = np.frombuffer(row["tokens"], np.uint64)
+            for klass, largest, apt in _classes(np.array([len(tokens)])):
+                if apt[0]:
+                    bits = bitmap(tokens, int(largest[0])).tobytes()
+                    own = row["root"], int(klass[0]), row["node"], row["component"]
+                    rows.append((*own, len(tokens), bits))
+        names = [x.split()[0] for x in SIGNED.split(", ")]
+        columns = list(zip(*rows)) or [[]] * 6
+        types = [pa.int64()] * 5 + [pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
 
 def _traverse_root(table: pa.Table) -> pa.Table:
     """Candidate pairs of different groups between two trees (or within one) of a root."""
     table = table.sort_by([("size", "ascending"), ("node", "ascending")])
+    left, right = table["left"][0].as_py(), table["right"][0].as_py()
     sides = []
-    for tree in sorted(set(table["tree"].to_pylist())):
+    for tree in (left, right):
         own = table.filter(pc.equal(table["tree"], tree))
-        sides.append(
-            _grow(
-                own["node"].to_pylist(),
-                own["size"].to_numpy(),
-                own["tokens"].to_pylist(),
-                own["component"].to_pylist(),
-            )
-        )
-    pair = table["left"][0].as_py(), table["right"][0].as_py()
-    if pair[0] != pair[1] and len(sides) < 2:
-        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-    one, two = sides[0], sides[-1]
-    words = min(one[3], two[3])
-    i, j = traverse(_fold(one[0], words), _fold(two[0], words), pair[0] == pair[1])
-    apart = one[2][i] != two[2][j]
-    a, b = one[1][i[apart]], two[1][j[apart]]
+        bits = np.frombuffer(b"".join(own["bits"].to_pylist()), np.uint64)
+        if not own.num_rows:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        grown = Tree(own["size"].to_numpy(), bits.reshape(own.num_rows, -1))
+        sides.append((grown, own["node"].to_numpy(), own["component"].to_numpy()))
+    (one, name, group), (two, other, others) = sides
+    i, j = traverse(one, two, left == right)
+    apart = group[i] != others[j]
+    a, b = name[i[apart]], other[j[apart]]
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
@@ -395,25 +398,23 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "node", "root", F.coalesce("component", "node").alias("component")
     )
     counted = labelled.groupBy("root").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")
+        F.min("component").alias("x"), F.max("component").alias("y")
     )
     # Roots whose documents are one group already have nothing to add.
-    torn = labelled.join(counted.where("x <> y").select("root", "n"), "root")
-    torn = torn.join(tokens, "node").withColumn("size", F.octet_length("tokens") / 8)
-    trees = F.ceil(F.col("n") / TREE).cast("int")
-    torn = torn.withColumn("tree", F.pmod(F.xxhash64("node"), trees).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), trees - 1)).alias("other")
+    torn = labelled.join(counted.where("x <> y").select("root"), "root").join(tokens, "node")
+    signed = torn.select("root", "node", "component", "tokens").mapInArrow(_sign, SIGNED)
+    signed = written(signed, "signatures")
+    trees = signed.groupBy("root", "class").agg(F.ceil(F.count("*") / TREE).cast("int").alias("n"))
+    torn = signed.join(trees, ["root", "class"])
+    torn = torn.withColumn("tree", F.pmod(F.xxhash64("node"), "n").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
     torn = torn.select("*", other).select(
-        "root",
-        "node",
-        "component",
-        "tokens",
-        F.col("size").cast("long").alias("size"),
+        *(x.split()[0] for x in SIGNED.split(", ")),
         "tree",
         F.least("tree", "other").alias("left"),
         F.greatest("tree", "other").alias("right"),
     )
-    rest = torn.groupBy("root", "left", "right").applyInArrow(_traverse_root, "a bigint, b bigint")
+    rest = torn.groupBy("root", "class", "left", "right").applyInArrow(_traverse_root, "a bigint, b bigint")
     rest = written(rest.where("a <> b").distinct().join(near, ["a", "b"], "left_anti"), "rest")
     more = verified(rest)
     if not more.isEmpty():
