@@ -22,11 +22,12 @@ def epoch_millis(time: Column, zoneless: bool = True) -> Column:
 
 
 def order_key(time: Column, tie: Column) -> Column:
-    """One sortable number for the pair (time, tie), both bigint.
+    """One sortable number for the pair (time, tie), both bigint; a null tie is the lowest.
 
     ``max_by`` over a struct falls back to sort aggregation, because a struct has
-    no fixed width in the aggregation buffer.  A decimal has: time * 2^64 + tie
-    keeps the order of the pair exactly and fits 38 digits for |time| < 5·10^18.
+    no fixed width in the aggregation buffer.  A decimal has: time * 2^65 + tie
+    keeps the order of the pair exactly and fits 38 digits for |time| < 2·10^18.
     """
-    scaled = time.cast("decimal(19,0)") * F.expr("18446744073709551616BD")
-    return (scaled + tie.cast("decimal(19,0)")).cast("decimal(38,0)")
+    scaled = time.cast("decimal(19,0)") * F.expr("36893488147419103232BD")
+    below_all = F.expr("-9223372036854775809BD").cast("decimal(19,0)")
+    return (scaled + F.coalesce(tie.cast("decimal(19,0)"), below_all)).cast("decimal(38,0)")

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import IntegralType, TimestampNTZType
 
 from pulselog.functions.order import epoch_micros, order_key
 
 PUSH_GROUP = ("job", "instance", "type", "appid", "metric")
 
 
+def _whole(samples: DataFrame, tie: str) -> None:
+    kind = samples.schema[tie].dataType
+    if not isinstance(kind, IntegralType):
+        raise ValueError(f"the tie-break {tie} must be a whole number, not {kind.simpleString()}")
+
+
 def _newest(value: str, time: Column, tie: str) -> Column:
     return F.max_by(value, order_key(time, F.col(tie)))
 
@@ -26,10 +32,13 @@ def latest_samples(
 
     ``tie`` (bigint) decides between samples of the same time; without an order
     among them the largest value wins, so the result never depends on partitions.
+    A null tie is lower than any; samples without a time are left out.  Value, time
+    and tie come from the same sample.  A tie that is no whole number is refused.
     Partial aggregation leaves one row per key and task before the shuffle.
     """
+    _whole(samples, tie)
     tied = tie != value
-    return samples.groupBy(*keys).agg(
+    return samples.where(F.col(time).isNotNull()).groupBy(*keys).agg(
         _newest(value, F.col(time), tie).alias(value),
         F.max(time).alias(time),
         *([F.max_by(tie, order_key(F.col(time), F.col(tie))).alias(tie)] if tied else []),
@@ -50,6 +59,7 @@ def scrape_samples(
     drop its state.  Ticks without a push yield no row; carrying values forward
     would create ticks × series rows.
     """
+    _whole(samples, tie)
     zoneless = isinstance(samples.schema[time].dataType, TimestampNTZType)
     micros = epoch_micros(F.col(time), zoneless)
     return samples.groupBy(*keys, F.window(time, every).alias("tick")).agg(

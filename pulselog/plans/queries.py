@@ -7,7 +7,6 @@ Queries on listener events run the real path: tables become event-log lines
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +30,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 JOB = "telemetry"
 GATEWAY = "gateway:9091"
 SERIES = ("user_id", "event_type")
+FILES_PER_BATCH = 2
+# A stored table's files come in any order, so a replay of it may not drop late rows.
+REPLAY_DELAY = "36500 days"
 
 # Record kind -> the lines it occurs in.
 _LINES = {
@@ -171,12 +173,11 @@ def _scrape_query(every: str) -> Query:
 def sanitize(function) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         part, pages = read_table(spark, sf_dir, "part"), read_table(spark, sf_dir, "pages")
-        columns = [(part, "p_brand"), (part, "p_name"), (part, "p_type"), (pages, "url")]
-        raw = [
-            table.select(F.lit(column).alias("source"), F.col(column).alias("raw"))
-            for table, column in columns
-        ]
-        return reduce(DataFrame.union, raw).withColumn("clean", function(F.col("raw")))
+        names = ", ".join(f"'{c}', {c}" for c in ("p_brand", "p_name", "p_type"))
+        raw = part.selectExpr(f"stack(3, {names}) AS (source, raw)").union(
+            pages.select(F.lit("url"), "url")
+        )
+        return raw.withColumn("clean", function(F.col("raw")))
 
     return query
 
@@ -195,9 +196,11 @@ def event_stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream of its files, several batches where it has many."""
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
-    source = spark.readStream.schema(table.schema).option("pathGlobFilter", "events.parquet")
-    return _series(source.parquet(sf_dir))
+    source = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    # A file source takes one file only as the match of a pattern; a folder matches as well.
+    return _series(source.parquet(f"{sf_dir}/events.parque[t]"))
 
 
 def latest_samples_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +215,7 @@ def latest_samples_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scrape_samples_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = scratch_dir(spark, "scrapes"), scratch_dir(spark, "checkpoint")
     ticks = streaming.scrape_stream(
-        _event_table_stream(spark, sf_dir), SERIES, "ts", "event_id", every="15 seconds"
+        _event_table_stream(spark, sf_dir), SERIES, "ts", "event_id", every="15 seconds", delay=REPLAY_DELAY
     ).select(*SERIES, F.unix_millis("tick.end").alias("scrapeMillis"), "value")
     streaming.upsert_log(ticks, out, checkpoint).awaitTermination()
     return streaming.merge_latest(spark.read.parquet(out), (*SERIES, "scrapeMillis"))

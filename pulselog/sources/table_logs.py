@@ -117,17 +117,8 @@ BLOCK_MANAGER = {"app_id": "'app-0'", "host": "n_name", "time_ms": "n_nationkey
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the supplied tables.
-
-    A table in fewer splits than there are cores is spread over the cores by its
-    leading key, since writing and parsing lines costs far more than moving such
-    a small table.  A larger one has more splits than that and is taken as it lies.
-    """
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores, table.columns[0])
+    """One of the supplied tables, a file or a folder of files, taken as it lies."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _inputs(table: DataFrame, expressions: dict[str, str]) -> DataFrame:

@@ -61,9 +61,14 @@ def scrape_stream(
     tie: str = "seq",
     value: str = "value",
     every: str = "500 milliseconds",
-    delay: str = "1 minute",
+    *,
+    delay: str,
 ) -> DataFrame:
-    """Scrapes of a stream.  Ticks older than the watermark leave the state."""
+    """Scrapes of a stream.  Ticks older than the watermark leave the state.
+
+    Rows that come later than ``delay`` are dropped: choose it for the source.  The query's
+    progress counts them as ``numRowsDroppedByWatermark``.
+    """
     if isinstance(samples.schema[time].dataType, TimestampNTZType):
         samples = samples.withColumn(time, F.timestamp_micros(epoch_micros(F.col(time))))
     return scrape_samples(samples.withWatermark(time, delay), keys, time, tie, value, every)

@@ -64,3 +64,16 @@ def test_hot_keys_are_reduced_before_the_shuffle(spark, rows):
     for result, partial in ((latest, "partial_max_by"), (words, "partial_count")):
         plan = result._jdf.queryExecution().executedPlan().toString()
         assert plan.index(partial) > plan.index("Exchange hashpartitioning")
+
+
+def test_null_tie_is_lowest_and_rows_stay_together(spark):
+    rows = [("k", 5.0, 10, None), ("k", 4.0, 9, 1), ("n", 7.0, 3, None), ("n", 8.0, None, 9)]
+    samples = spark.createDataFrame(rows, "key string, value double, t bigint, seq bigint")
+    got = ops.latest_samples(samples, ("key",), "t", "seq").collect()
+    assert sorted(map(tuple, got)) == [("k", 5.0, 10, None), ("n", 7.0, 3, None)]
+
+
+def test_tie_that_is_no_whole_number_is_refused(spark):
+    samples = spark.createDataFrame([("k", 1.2, 1)], "key string, value double, t bigint")
+    with pytest.raises(ValueError, match="whole number"):
+        ops.latest_samples(samples, ("key",), "t")
