@@ -111,4 +111,45 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+# What the template adds to a turn's role and text: two marks and two line feeds.
+_MARKS = len(chat.OPEN) + len(chat.CLOSE) + 1
+_ESCAPED = "replace(coalesce(text, ''), '%', '%25')"
+for _control in chat.CONTROLS:
+    _ESCAPED = f"replace({_ESCAPED}, '{_control}', '%{ord(_control[0]):02X}{_control[1:]}')"
+
+ORACLES: dict[str, str] = {
+    "op2_chat_format": f"""
+        WITH turns AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL
+            SELECT -7, n, r, '{CONTROL}' FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(n, r)
+        ), measured AS (
+            SELECT *, sum(length(role) + length({_ESCAPED}) + {_MARKS})
+                OVER (PARTITION BY conv_id ORDER BY turn, role, text
+                      ROWS UNBOUNDED PRECEDING) AS size,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC)
+                AS behind
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+                AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT)
+                AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(size) FILTER (role = 'assistant' OR behind = 1) AS BIGINT) AS formatted_chars
+        FROM measured GROUP BY conv_id""",
+    "op3_warc": f"""
+        WITH payloads AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), kept AS (
+            SELECT payload, max(page_id) AS page_id FROM payloads
+            WHERE octet_length(payload) >= {warc.REVISIT_BYTES} GROUP BY payload
+        )
+        SELECT p.page_id, CAST(octet_length(p.payload) AS BIGINT) AS payload_bytes,
+            sha1(p.payload) AS payload_digest,
+            CASE WHEN k.page_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN k.page_id <> p.page_id THEN k.page_id END AS refers_to
+        FROM payloads p LEFT JOIN kept k ON p.payload = k.payload""",
+}
