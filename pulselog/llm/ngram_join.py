@@ -45,6 +45,7 @@ TREE = 1024
 #: Five bytes of a part's hash deal it out: a chance collision costs a comparison, no result.
 KEY = 5
 PART = np.dtype([("node", "i8"), ("size", "i4"), ("low", "u4"), ("high", "u1")])
+PAIR = np.dtype([("a", "i8"), ("b", "i8")])
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -153,10 +154,35 @@ def _features(batches):
             )
 
 
+def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    apart = a != b
+    a, b = a[apart], b[apart]
+    return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+
+
 def _deal(n: int):
+    """Deals parts out to ``n`` buckets, and to ``n`` more the pairs that were found on the way.
+
+    A part may be very common. Documents of one size under one part are paired as a chain here,
+    and only the first of them travels on: a task ships each part once for each size.
+    """
+
     def flush(kept):
         own = np.concatenate(kept)
-        return packed(own["low"] % np.uint32(n), own)
+        order = np.lexsort((own["node"], own["size"], own["low"], own["high"]))
+        one, two = own[order[:-1]], own[order[1:]]
+        again = np.ones(len(two), bool)
+        for name in ("size", "low", "high"):
+            again &= one[name] == two[name]
+        pairs = _distinct_pairs(one["node"][again], two["node"][again])
+        first = np.ones(len(own), bool)
+        first[order[1:][again]] = False
+        own = own[first]
+        yield packed(own["low"] % np.uint32(n), own)
+        if len(pairs):
+            found = np.zeros(len(pairs), PAIR)
+            found["a"], found["b"] = pairs[:, 0], pairs[:, 1]
+            yield packed(n + (mixed(found["a"].view(np.uint64)) % np.uint64(n)).astype(np.int64), found)
 
     def run(batches):
         kept, total = [], 0
@@ -172,27 +198,32 @@ def _deal(n: int):
             kept.append(own)
             total += len(own)
             if total >= 1 << 20:
-                yield flush(kept)
+                yield from flush(kept)
                 kept, total = [], 0
         if kept:
-            yield flush(kept)
+            yield from flush(kept)
 
     return run
 
 
-def _neighbours(bucket: int, blobs: list[bytes]) -> pa.Table:
-    """Neighbours by size among the documents that share a part."""
-    rows = unpacked(blobs, PART)
-    key = rows["low"].astype(np.uint64) << np.uint64(8) | rows["high"]
-    order = np.lexsort((rows["node"], rows["size"], key))
-    key, node, size = key[order], rows["node"][order], rows["size"][order].astype(np.int64)
-    same = (key[1:] == key[:-1]) & (node[1:] != node[:-1])
-    # Sizes ascend: a set further on that may link makes all sets between them apt as well.
-    same &= 100 * size[:-1] >= PERCENT * size[1:]
-    at = np.flatnonzero(same)
-    a, b = node[at], node[at + 1]
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+def _neighbours(n: int):
+    """Neighbours by size among the documents that share a part, and the pairs found before."""
+
+    def run(bucket: int, blobs: list[bytes]) -> pa.Table:
+        if bucket >= n:
+            found = unpacked(blobs, PAIR)
+            pairs = _distinct_pairs(found["a"], found["b"])
+        else:
+            rows = unpacked(blobs, PART)
+            key = rows["low"].astype(np.uint64) << np.uint64(8) | rows["high"]
+            order = np.lexsort((rows["node"], rows["size"], key))
+            key, node, size = key[order], rows["node"][order], rows["size"][order].astype(np.int64)
+            # Sizes ascend: a set further on that may link makes all sets between them apt as well.
+            apt = (key[1:] == key[:-1]) & (100 * size[:-1] >= PERCENT * size[1:])
+            pairs = _distinct_pairs(node[:-1][apt], node[1:][apt])
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return run
 
 
 def _sets(batches):
@@ -379,7 +410,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = features.withColumnRenamed("doc", "node").join(first, ["node", "low", "high"])
     nodes = nodes.dropDuplicates(["node", "low", "high"]).select("node", "size", "parts")
     near = nodes.mapInArrow(_deal(4 * parts), "bucket int, blob binary")
-    near = written(by_bucket(near, _neighbours, "a bigint, b bigint").distinct(), "near")
+    near = written(by_bucket(near, _neighbours(4 * parts), "a bigint, b bigint").distinct(), "near")
     roots = written(components(near).withColumnRenamed("component", "root"), "roots")
     # A doc_id may stand for several sets: each of them is compared.
     tokens = named.join(roots.select(F.col("node").alias("_doc")), "_doc").select("_doc", "_text")
