@@ -233,15 +233,41 @@ def _sets(batches):
         for i, j in row_spans(offsets, 1 << 20):
             row, h = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             cut = np.searchsorted(row, np.arange(j - i + 1))
+            own = [h[cut[k] : cut[k + 1]] for k in range(j - i)]
             yield pa.RecordBatch.from_arrays(
                 [
                     node.slice(i, j - i),
-                    pa.array([h[cut[k] : cut[k + 1]].tobytes() for k in range(j - i)], pa.binary()),
+                    pa.array(np.diff(cut).astype(np.int64)),
+                    pa.array([bitmap(x, max(len(x), 1)).tobytes() for x in own], pa.binary()),
+                    pa.array([x.tobytes() for x in own], pa.binary()),
                 ],
-                ["node", "tokens"],
+                ["node", "size", "bits", "tokens"],
             )
 
 
+def possible(a: int, x: bytes, b: int, y: bytes) -> bool:
+    """Whether sets of sizes a and b with these bitmaps may link."""
+    need = required(a, b)
+    if min(a, b) < max(need, 1):
+        return False
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    # Widths are powers of two: the halves of the wider one fold onto each other.
+    while len(x) > len(y):
+        x = x[: len(x) // 2] | x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] | y[len(y) // 2 :]
+    common = int(np.bitwise_count(x & y).sum(dtype=np.int64))
+    slack = min(a - int(np.bitwise_count(x).sum(dtype=np.int64)), b - int(np.bitwise_count(y).sum(dtype=np.int64)))
+    return common + slack >= need
+
+
+def _possible(batches):
+    for batch in batches:
+        columns = [batch.column(n).to_pylist() for n in ("m", "x", "n", "y")]
+        same = pa.array([possible(*row) for row in zip(*columns)], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), same], ["a", "b", "same"])
+
+
 def linked(x: bytes, y: bytes) -> bool:
     """The exact test on two sorted sets of hashes."""
     a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -414,7 +440,17 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     roots = written(components(near).withColumnRenamed("component", "root"), "roots")
     # A doc_id may stand for several sets: each of them is compared.
     tokens = named.join(roots.select(F.col("node").alias("_doc")), "_doc").select("_doc", "_text")
-    tokens = written(tokens.mapInArrow(_sets, "node bigint, tokens binary"), "tokens")
+    tokens = written(
+        tokens.mapInArrow(_sets, "node bigint, size bigint, bits binary, tokens binary"), "tokens"
+    )
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        """The pairs that their bitmaps, an eighth of the sets, do not rule out."""
+        left = tokens.select(F.col("node").alias("a"), F.col("size").alias("m"), F.col("bits").alias("x"))
+        right = tokens.select(F.col("node").alias("b"), F.col("size").alias("n"), F.col("bits").alias("y"))
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "m", "x", "n", "y")
+        both = both.mapInArrow(_possible, "a bigint, b bigint, same boolean")
+        return both.where("same").select("a", "b").distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = tokens.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
@@ -423,7 +459,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         both = both.mapInArrow(_verify, "a bigint, b bigint, same boolean")
         return written(both.where("same").select("a", "b").distinct(), "links")
 
-    found = verified(near)
+    found = verified(likely(near))
     groups = components(found)
     labelled = roots.join(groups, "node", "left").select(
         "node", "root", F.coalesce("component", "node").alias("component")
@@ -432,7 +468,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min("component").alias("x"), F.max("component").alias("y")
     )
     # Roots whose documents are one group already have nothing to add.
-    torn = labelled.join(counted.where("x <> y").select("root"), "root").join(tokens, "node")
+    torn = labelled.join(counted.where("x <> y").select("root"), "root")
+    torn = torn.join(tokens.select("node", "tokens"), "node")
     signed = torn.select("root", "node", "component", "tokens").mapInArrow(_sign, SIGNED)
     signed = written(signed, "signatures")
     trees = signed.groupBy("root", "class").agg(F.ceil(F.count("*") / TREE).cast("int").alias("n"))
