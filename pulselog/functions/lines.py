@@ -9,11 +9,16 @@ NO_APP_ID = "noAppId"
 
 
 def event_name(line: Column) -> Column:
-    """The `Event` of an event-log line.
+    """The `Event` of a line that is whole JSON; null for any other line, whatever its layout."""
+    return F.from_json(line, "Event string").getField("Event")
+
+
+def event_hint(line: Column) -> Column:
+    """What the `Event` of a line is if the line is whole: for filters before the parse only.
 
     Spark writes the event name first, so it sits between the third and fourth
     quote and a filter on it costs a look at the first bytes of a line.  Lines of
-    another layout go through a JSON path, so the result is the same for both.
+    another layout go through a JSON path.
     """
     leading = F.substring_index(F.substring_index(line, '"', 4), '"', -1)
     return F.when(line.startswith('{"Event":"'), leading).otherwise(

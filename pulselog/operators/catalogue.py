@@ -100,10 +100,9 @@ def with_stage_counters(events: DataFrame) -> DataFrame:
         return events
     prefix = schema.ACCUMULATOR_PREFIX
     internal = f"filter(`Stage Info`.Accumulables, a -> startswith(a.Name, '{prefix}'))"
-    first = (
-        "filter(_internal, (a, i) -> "
-        "array_position(transform(_internal, b -> b.Name), a.Name) = i + 1)"
-    )
+    # Sorted by name and place, the first entry of a name is the one behind another name.
+    internal = f"array_sort(transform({internal}, (a, i) -> struct(a.Name, i AS at, a.Value)))"
+    first = "filter(_internal, (a, i) -> NOT (get(_internal, i - 1).Name <=> a.Name))"
     entries = (
         f"transform({first}, a -> struct("
         f"substring(a.Name, {len(prefix) + 1}), try_cast(a.Value AS bigint)))"
@@ -134,6 +133,7 @@ def _stage_counters() -> list[Field]:
     return [_long(counter.name, value(counter)) for counter in schema.COUNTERS]
 
 
+# Fixed values from here on: record names, metric-type prefixes, field names and their order.
 _STAGE_KEY = ("`Stage Info`.`Stage ID`", "`Stage Info`.`Stage Attempt ID`")
 _STAGE_PRESENT = "`Stage Info`.`Stage ID` IS NOT NULL"
 _STAGE_SUBMISSION = _or_zero("`Stage Info`.`Submission Time`")

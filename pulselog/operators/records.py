@@ -95,6 +95,7 @@ def application_records(events: DataFrame) -> DataFrame:
     """Application start and end, with the line a driver log would show."""
     started = f"Event = '{schema.APPLICATION_START}'"
     app, attempt = "coalesce(`App ID`, 'noAppId')", "coalesce(`App Attempt ID`, 'N/A')"
+    # The two lines as a driver log has them.
     start_message = f"""concat('Spark application started, Application Name: ', `App Name`,
         ', Application ID: ', {app}, ', Time: ', Timestamp, ', Spark User: ', User,
         ', App Attempt ID: ', {attempt})"""

@@ -32,8 +32,10 @@ def telemetry(
 
         def push(batch: DataFrame, batch_id: int) -> None:
             texts = ops.exposition_text(batch, settings.extended, compat)
-            requests = ops.push_requests(texts, settings.push_gateway, settings.job)
-            outcome = sinks.deliver(requests, transport)
+            requests = ops.push_requests(
+                texts, settings.push_gateway, settings.job, settings.instance
+            )
+            outcome = sinks.deliver(requests, transport, settings.connections)
             if outcome.failed:
                 total = outcome.failed + outcome.delivered
                 log.warning("batch %d: %d of %d pushes failed", batch_id, outcome.failed, total)
@@ -49,7 +51,7 @@ def telemetry(
     if not targets:
         raise ValueError("configure a push gateway or a Kafka broker and topic")
     kinds = schema.EXTENDED_KINDS if settings.extended else schema.BASIC_KINDS
-    events = read_event_stream(tune(spark), log_dir, kinds)
+    events = read_event_stream(tune(spark), log_dir, kinds, settings.max_files)
     return streaming.fan_out(events, checkpoint, trigger, **targets)
 
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pulselog import schema
 from pulselog.sources import table_logs as logs
 
 JOB = "telemetry"
@@ -25,8 +24,39 @@ _ITEMS = "(SELECT *, epoch_us(l_shipdate) // 1000 AS ship_ms FROM lineitem)"
 _ORDERS = "(SELECT *, epoch_us(o_orderdate) // 1000 AS order_ms FROM orders)"
 _EVENTS = "(SELECT *, epoch_us(ts) // 1000 AS event_ms FROM events)"
 
-# Record column -> metric paths that are summed up for it.
-_PATHS = {counter.name: counter.task for counter in schema.COUNTERS}
+# Record column -> metric paths that are summed up for it. Stated here once more,
+# so that a mix-up in the engine's own list shows.
+_READ, _WRITE = "Shuffle Read Metrics", "Shuffle Write Metrics"
+_PATHS = {
+    "executorRunTime": ("Executor Run Time",),
+    "executorCpuTime": ("Executor CPU Time",),
+    "executorDeserializeCpuTime": ("Executor Deserialize CPU Time",),
+    "executorDeserializeTime": ("Executor Deserialize Time",),
+    "jvmGCTime": ("JVM GC Time",),
+    "memoryBytesSpilled": ("Memory Bytes Spilled",),
+    "peakExecutionMemory": ("Peak Execution Memory",),
+    "resultSerializationTime": ("Result Serialization Time",),
+    "resultSize": ("Result Size",),
+    "bytesRead": ("Input Metrics.Bytes Read",),
+    "recordsRead": ("Input Metrics.Records Read",),
+    "bytesWritten": ("Output Metrics.Bytes Written",),
+    "recordsWritten": ("Output Metrics.Records Written",),
+    "shuffleTotalBytesRead": (f"{_READ}.Remote Bytes Read", f"{_READ}.Local Bytes Read"),
+    "shuffleRemoteBytesRead": (f"{_READ}.Remote Bytes Read",),
+    "shuffleRemoteBytesReadToDisk": (f"{_READ}.Remote Bytes Read To Disk",),
+    "shuffleLocalBytesRead": (f"{_READ}.Local Bytes Read",),
+    "shuffleTotalBlocksFetched": (
+        f"{_READ}.Remote Blocks Fetched",
+        f"{_READ}.Local Blocks Fetched",
+    ),
+    "shuffleLocalBlocksFetched": (f"{_READ}.Local Blocks Fetched",),
+    "shuffleRemoteBlocksFetched": (f"{_READ}.Remote Blocks Fetched",),
+    "shuffleRecordsRead": (f"{_READ}.Total Records Read",),
+    "shuffleFetchWaitTime": (f"{_READ}.Fetch Wait Time",),
+    "shuffleBytesWritten": (f"{_WRITE}.Shuffle Bytes Written",),
+    "shuffleRecordsWritten": (f"{_WRITE}.Shuffle Records Written",),
+    "shuffleWriteTime": (f"{_WRITE}.Shuffle Write Time",),
+}
 
 _stage_sums = ", ".join(
     f'CAST(sum({sql}) AS BIGINT) AS "{path}"' for path, sql in logs.TASK_COUNTERS.items()
@@ -327,19 +357,21 @@ _SAMPLES = _union([_sample_rows(kind) for kind in _BASIC])
 _TEXTS = _union([_text_rows(kind) for kind in _BASIC])
 _RECORDS = _union([_record_rows(kind) for kind in _FIXED.values()])
 
+_SQL_EVENT = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecution"
 _COUNT_PARTS = [
-    *[(event, "lineitem") for event in (schema.TASK_START, schema.TASK_END)],
-    *[
-        (event, "(SELECT DISTINCT l_suppkey FROM lineitem)")
-        for event in (schema.STAGE_SUBMITTED, schema.STAGE_COMPLETED)
-    ],
-    *[(event, "orders") for event in (schema.JOB_START, schema.JOB_END)],
-    *[
-        (event, "supplier")
-        for event in (schema.EXECUTOR_ADDED, schema.EXECUTOR_REMOVED, schema.EXECUTOR_EXCLUDED)
-    ],
-    *[(event, "events") for event in (schema.SQL_START, schema.SQL_END)],
-    *[(event, "customer") for event in (schema.APPLICATION_START, schema.APPLICATION_END)],
+    ("SparkListenerTaskStart", "lineitem"),
+    ("SparkListenerTaskEnd", "lineitem"),
+    ("SparkListenerStageSubmitted", "(SELECT DISTINCT l_suppkey FROM lineitem)"),
+    ("SparkListenerStageCompleted", "(SELECT DISTINCT l_suppkey FROM lineitem)"),
+    ("SparkListenerJobStart", "orders"),
+    ("SparkListenerJobEnd", "orders"),
+    ("SparkListenerExecutorAdded", "supplier"),
+    ("SparkListenerExecutorRemoved", "supplier"),
+    ("SparkListenerExecutorExcluded", "supplier"),
+    (f"{_SQL_EVENT}Start", "events"),
+    (f"{_SQL_EVENT}End", "events"),
+    ("SparkListenerApplicationStart", "customer"),
+    ("SparkListenerApplicationEnd", "customer"),
 ]
 _COUNTS = _union(
     [
@@ -444,6 +476,10 @@ FROM ({_SAMPLES}) GROUP BY ALL""",
     "scrape_samples_15s": _scrapes(15000),
     "sanitize_metric_name": _sanitized("a-zA-Z0-9_:"),
     "sanitize_label_name": _sanitized("a-zA-Z0-9_"),
+    "event_files_records": _RECORDS,
+    "event_files_rollup": _ROLLUP,
+    "event_files_counts": _COUNTS,
+    "text_files_word_count": _WORDS,
     "event_stream_records": _RECORDS,
     "latest_samples_stream": _LATEST,
     "scrape_samples_stream": _scrapes(15000),

@@ -21,7 +21,7 @@ from pulselog.functions import (
 )
 from pulselog.session import scratch_dir, tune
 from pulselog.sinks import write_json
-from pulselog.sources import parse_events, read_event_stream
+from pulselog.sources import parse_events, read_event_stream, read_events, read_lines
 from pulselog.sources import table_logs as logs
 from pulselog.sources.table_logs import read_table
 
@@ -31,6 +31,7 @@ JOB = "telemetry"
 GATEWAY = "gateway:9091"
 SERIES = ("user_id", "event_type")
 FILES_PER_BATCH = 2
+LOG_FILES_PER_BATCH = 16
 # A stored table's files come in any order, so a replay of it may not drop late rows.
 REPLAY_DELAY = "36500 days"
 
@@ -182,12 +183,46 @@ def sanitize(function) -> Query:
     return query
 
 
+def _written_log(spark: SparkSession, lines: DataFrame) -> str:
+    """The lines as sealed files per application; tasks do not write into every folder."""
+    log = scratch_dir(spark, "event-log")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lines.repartition("appId", F.pmod(F.xxhash64("value"), F.lit(parts)))
+    dealt.write.partitionBy("appId").option("compression", "gzip").text(log)
+    return log
+
+
+def event_files_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read_events(
+        spark, _written_log(spark, _extended_lines(spark, sf_dir)), schema.EXTENDED_KINDS
+    )
+    return ops.records(events, extended=True)
+
+
+def event_files_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _written_log(spark, logs.task_lines(spark, sf_dir))
+    return ops.stage_rollup(read_events(spark, log, ("stage_rollup",)))
+
+
+def event_files_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = scratch_dir(spark, "event-log")
+    logs.all_lines(spark, sf_dir).select("value").write.option("compression", "gzip").text(log)
+    return ops.event_log_counts(read_lines(spark, log))
+
+
+def text_files_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "texts")
+    _document_lines(spark, sf_dir).where("value IS NOT NULL").write.text(path)
+    return ops.word_count(read_lines(spark, path))
+
+
 def event_stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the log as sealed files per application, then streams records from them."""
-    log, out = scratch_dir(spark, "event-log"), scratch_dir(spark, "stream-records")
-    lines = _extended_lines(spark, sf_dir)
-    lines.write.partitionBy("appId").option("compression", "gzip").text(log)
-    events = read_event_stream(spark, log, schema.EXTENDED_KINDS)
+    out = scratch_dir(spark, "stream-records")
+    log = _written_log(spark, _extended_lines(spark, sf_dir))
+    events = read_event_stream(
+        spark, log, schema.EXTENDED_KINDS, max_files_per_trigger=LOG_FILES_PER_BATCH
+    )
     checkpoint = scratch_dir(spark, "checkpoint")
     stream = streaming.append_records(ops.records(events, extended=True), out, checkpoint)
     stream.awaitTermination()
@@ -254,6 +289,10 @@ QUERIES: dict[str, Query] = {
         "scrape_samples_15s": _scrape_query("15 seconds"),
         "sanitize_metric_name": sanitize(sanitize_metric_name),
         "sanitize_label_name": sanitize(sanitize_label_name),
+        "event_files_records": event_files_records,
+        "event_files_rollup": event_files_rollup,
+        "event_files_counts": event_files_counts,
+        "text_files_word_count": text_files_word_count,
         "event_stream_records": event_stream_records,
         "latest_samples_stream": latest_samples_stream,
         "scrape_samples_stream": scrape_samples_stream,

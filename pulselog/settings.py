@@ -15,6 +15,10 @@ class Settings:
     push_gateway: str | None = None
     kafka_broker: str | None = None
     kafka_topic: str | None = None
+    instance: str = "pulselog"
+    #: Connections that push at the same time, and log files of one micro-batch.
+    connections: int = 4
+    max_files: int = 64
 
     @classmethod
     def read(cls, conf: Mapping[str, str] | Callable, prefix: str = "spark.pulselog") -> Settings:
@@ -24,6 +28,14 @@ class Settings:
         def option(name: str) -> str | None:
             return lookup(f"{prefix}.{name}", None)
 
+        def number(name: str, default: int) -> int:
+            text = option(name)
+            if text is None:
+                return default
+            if not text.strip().isdigit() or int(text) < 1:
+                raise ValueError(f"{prefix}.{name} must be a whole number from 1 on, not {text!r}")
+            return int(text)
+
         flag = option("extendedmode")
         if flag is not None and flag.strip().lower() not in ("true", "false"):
             raise ValueError(f"{prefix}.extendedmode must be true or false, not {flag!r}")
@@ -33,6 +45,9 @@ class Settings:
             push_gateway=option("pushgateway"),
             kafka_broker=option("kafkaBroker"),
             kafka_topic=option("kafkaTopic"),
+            instance=option("instance") or cls.instance,
+            connections=number("connections", cls.connections),
+            max_files=number("maxFilesPerTrigger", cls.max_files),
         )
 
     def require(self, name: str) -> str:

@@ -6,7 +6,7 @@ import http.client
 import logging
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from urllib.parse import urlsplit
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,25 +30,44 @@ class Delivery:
     failed: int
 
 
+def _target(url: str) -> tuple[str, str]:
+    """Host and path of a push address: all behind the host is path, ``?`` and ``#`` included."""
+    host, _, path = url.partition("://")[2].partition("/")
+    return host, "/" + quote(path, safe="/%:@!$&'()*+,;=~")
+
+
 def http_post() -> Post:
-    """Keeps one connection per host for the requests of a partition."""
+    """Keeps one connection per host for the requests of a partition.
+
+    A gateway may close a connection between two pushes: one that was used before and breaks is
+    replaced once.
+    """
     connections: dict[str, http.client.HTTPConnection] = {}
 
-    def post(url: str, content_type: str, body: bytes) -> int:
-        parts = urlsplit(url)
-        connection = connections.get(parts.netloc)
+    def send(host: str, path: str, content_type: str, body: bytes) -> int:
+        connection = connections.get(host)
         if connection is None:
-            connection = http.client.HTTPConnection(parts.netloc, timeout=TIMEOUT)
-            connections[parts.netloc] = connection
+            connection = http.client.HTTPConnection(host, timeout=TIMEOUT)
+            connections[host] = connection
         try:
-            connection.request("POST", parts.path, body, {"Content-Type": content_type})
+            connection.request("POST", path, body, {"Content-Type": content_type})
             response = connection.getresponse()
             response.read()
             return response.status
         except Exception:
-            connections.pop(parts.netloc).close()
+            connections.pop(host).close()
             raise
 
+    def post(url: str, content_type: str, body: bytes) -> int:
+        host, path = _target(url)
+        used = host in connections
+        try:
+            return send(host, path, content_type, body)
+        except ConnectionError:
+            if not used:
+                raise
+            return send(host, path, content_type, body)
+
     return post
 
 
@@ -66,7 +85,7 @@ def _send(batches: Iterable[pa.RecordBatch], transport: Transport) -> Iterator[p
                 delivered += 1
             else:
                 failed += 1
-                log.error("Data sent error, url: '%s', %s", row["url"], problem)
+                log.error("push to %s failed: %s", row["url"], problem)
         yield pa.RecordBatch.from_pydict(
             {"delivered": pa.array([delivered]), "failed": pa.array([failed])}
         )
@@ -77,7 +96,7 @@ def deliver(
 ) -> Delivery:
     """Sends all requests, each partition over its own connection; failures are counted.
 
-    Nothing is retried and nothing raised.  ``connections`` bounds how many
+    Answers are not retried and nothing is raised.  ``connections`` bounds how many
     partitions talk to the gateway at the same time; the requests are moved for
     it, so that parsing them keeps its own parallelism.
     """

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulselog.functions.lines import NO_APP_ID, app_id_from_path, event_name
+from pulselog.functions.lines import NO_APP_ID, app_id_from_path, event_hint
 from pulselog.schema import ALL_KINDS, kind_events, line_ddl, line_fields
 
 
@@ -52,8 +52,9 @@ def read_event_stream(
 def parse_events(lines: DataFrame, kinds=ALL_KINDS) -> DataFrame:
     """Event-log lines that already are rows (a topic, a table): ``value[, appId | path]``.
 
-    The event name comes off the raw line, so lines of other events are dropped
-    unparsed.  The parse sits inside a generator because Spark would otherwise
+    A hint of the event comes off the raw line, so lines of other events are dropped
+    unparsed; whether a line counts is up to the parse alone, as for files: broken lines drop
+    out, and ``event_log_counts`` counts them.  The parse sits inside a generator because Spark would otherwise
     copy it into every later filter on a parsed field and parse each line twice.
     """
     value = F.col("value").cast("string")
@@ -63,10 +64,11 @@ def parse_events(lines: DataFrame, kinds=ALL_KINDS) -> DataFrame:
         app = app_id_from_path(F.col("path"))
     else:
         app = F.lit(NO_APP_ID)
-    parsed = F.from_json("_line", line_ddl(kinds, with_event=False))
+    parsed = F.from_json("_line", line_ddl(kinds))
     return (
-        lines.select(app.alias("appId"), event_name(value).alias("Event"), value.alias("_line"))
-        .where(F.col("Event").isin(*kind_events(kinds)))
-        .select("appId", "Event", F.explode(F.array(parsed)).alias("_parsed"))
-        .select("appId", "Event", *[f"_parsed.`{name}`" for name in line_fields(kinds)])
+        lines.select(app.alias("appId"), event_hint(value).alias("_hint"), value.alias("_line"))
+        .where(F.col("_hint").isin(*kind_events(kinds)))
+        .select("appId", F.explode(F.array(parsed)).alias("_parsed"))
+        .where(F.col("_parsed.Event").isin(*kind_events(kinds)))
+        .select("appId", "_parsed.Event", *[f"_parsed.`{name}`" for name in line_fields(kinds)])
     )

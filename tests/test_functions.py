@@ -66,7 +66,7 @@ def test_event_name(spark):
         "no json",
         '{"Event":"E","tr',
     ]
-    assert apply(spark, event_name, lines) == ["A", "C", "D", None, None, "E"]
+    assert apply(spark, event_name, lines) == ["A", "C", "D", None, None, None]
 
 
 def test_app_id_from_path(spark):

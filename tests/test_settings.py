@@ -16,6 +16,14 @@ def test_extended_mode():
         Settings.read({"spark.pulselog.extendedmode": "maybe"})
 
 
+def test_numbers():
+    settings = Settings.read({"spark.pulselog.connections": "2", "spark.pulselog.instance": "box"})
+    assert (settings.connections, settings.instance, settings.max_files) == (2, "box", 64)
+    for bad in ("0", "-1", "many"):
+        with pytest.raises(ValueError):
+            Settings.read({"spark.pulselog.maxFilesPerTrigger": bad})
+
+
 def test_other_prefix_and_session_conf(spark):
     spark.conf.set("spark.mine.jobname", "nightly")
     spark.conf.set("spark.mine.pushgateway", "gw:9091")

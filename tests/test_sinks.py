@@ -57,6 +57,8 @@ class FakeConnection:
     def request(self, method, path, body, headers):
         if path.endswith("/broken"):
             raise TimeoutError("timed out")
+        if path.endswith("/stale") and self.requests:
+            raise ConnectionResetError("closed by the gateway")
         self.requests.append((method, path, body, headers))
 
     def getresponse(self):
@@ -93,6 +95,24 @@ def test_http_transport_keeps_its_connection(monkeypatch):
     assert len(FakeConnection.opened) == 2
 
 
+def test_http_transport_replaces_a_stale_connection_once(monkeypatch):
+    monkeypatch.setattr(http.client, "HTTPConnection", FakeConnection)
+    FakeConnection.opened = []
+    post = sinks.http_post()
+    assert post("http://gw:1/fresh", "text/plain", b"1") == 200
+    assert post("http://gw:1/stale", "text/plain", b"2") == 200
+    first, second = FakeConnection.opened
+    assert [r[2] for r in first.requests] == [b"1"]
+    assert [r[2] for r in second.requests] == [b"2"]
+
+
+def test_whole_address_is_path(monkeypatch):
+    monkeypatch.setattr(http.client, "HTTPConnection", FakeConnection)
+    FakeConnection.opened = []
+    assert sinks.http_post()("http://gw:1/type/a?b#c d/appid/x%2F1", "text/plain", b"") == 200
+    assert FakeConnection.opened[0].requests[0][1] == "/type/a%3Fb%23c%20d/appid/x%2F1"
+
+
 def test_kafka_options():
     options = sinks.kafka_options("b:9092", "metrics")
     assert options["kafka.bootstrap.servers"] == "b:9092"
