@@ -367,7 +367,7 @@ _COUNT_PARTS = [
     ("SparkListenerJobEnd", "orders"),
     ("SparkListenerExecutorAdded", "supplier"),
     ("SparkListenerExecutorRemoved", "supplier"),
-    ("SparkListenerExecutorExcluded", "supplier"),
+    ("org.apache.spark.scheduler.SparkListenerExecutorExcluded", "supplier"),
     (f"{_SQL_EVENT}Start", "events"),
     (f"{_SQL_EVENT}End", "events"),
     ("SparkListenerApplicationStart", "customer"),
