@@ -180,34 +180,33 @@ def probabilities(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.nda
 
 
 def sample(docs: DataFrame, label: str) -> list:
-    """(label, window) of at most SAMPLE_DOCS * SAMPLE_WINDOWS windows of labelled texts."""
-    ids = (
-        docs.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-        .select("doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(SAMPLE_DOCS)
-        .distinct()
-    )
-    chosen = docs.join(F.broadcast(ids), "doc_id").select(F.col(label).alias("label"), "text")
+    """(label, window) of at most SAMPLE_DOCS * SAMPLE_WINDOWS windows of labelled texts.
+
+    Rows that repeat a doc_id count as one document, the least by label and windows.
+    """
+    labelled = docs.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    ids = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    chosen = labelled.join(F.broadcast(ids), "doc_id").select("doc_id", F.col(label).alias("label"), "text")
     width = STRETCH + CONTEXT
 
     def cut(batches):
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            labels, windows = [], []
-            for i, name in enumerate(batch.column("label").to_pylist()):
-                a, b = offsets[i], offsets[i + 1]
+            windows = []
+            for a, b in zip(offsets[:-1], offsets[1:]):
                 n = min(SAMPLE_WINDOWS, -(-int(b - a) // width))
-                for start in np.linspace(a, max(a, b - width), n).astype(np.int64):
-                    labels.append(name)
-                    windows.append(data[start : min(b, start + width)].tobytes())
+                starts = np.linspace(a, max(a, b - width), n).astype(np.int64)
+                windows.append([data[s : min(b, s + width)].tobytes() for s in starts])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.string()), pa.array(windows, pa.binary())],
-                ["label", "piece"],
+                [*batch.columns[:2], pa.array(windows, pa.list_(pa.binary()))],
+                ["doc_id", "label", "windows"],
             )
 
-    rows = chosen.mapInArrow(cut, "label string, piece binary").collect()
-    return sorted((r.label, bytes(r.piece)) for r in rows)
+    key = docs.schema["doc_id"].dataType.simpleString()
+    cuts = chosen.mapInArrow(cut, f"doc_id {key}, label string, windows array<binary>")
+    least = F.min(F.struct("label", "windows")).alias("least")
+    rows = cuts.groupBy("doc_id").agg(least).select("least.*").collect()
+    return sorted((r.label, bytes(w)) for r in rows for w in r.windows)
 
 
 def fit(docs: DataFrame, label: str = "lang") -> Model:

@@ -151,10 +151,14 @@ def probabilities(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.nda
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str) -> list:
-    """(doc_id, label, chunks) of at most SAMPLE_DOCS labelled documents."""
+    """(doc_id, label, chunks) of at most SAMPLE_DOCS labelled documents.
+
+    Rows that repeat a doc_id and label count as one document, the least by chunks.
+    """
     ids = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
         .select("doc_id", F.col(label).cast("int").alias("label"))
+        .distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(SAMPLE_DOCS)
     )
@@ -178,7 +182,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str) -> list:
     out = chosen.select("doc_id", "label", "text").mapInArrow(
         cut, f"doc_id {key}, label int, chunks array<binary>"
     )
-    return sorted((r.doc_id, r.label, [bytes(c) for c in r.chunks]) for r in out.collect())
+    rows = out.groupBy("doc_id", "label").agg(F.min("chunks").alias("chunks")).collect()
+    return sorted((r.doc_id, r.label, [bytes(c) for c in r.chunks]) for r in rows)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:

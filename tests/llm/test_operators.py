@@ -213,6 +213,8 @@ def test_language_network_learns(spark, empty):
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(odd, model, ("doc_id",)).collect()}
     assert got[1] == got[2] == ("und", 0.0) and got[3][0] == "de" and 0 < got[3][1] <= 1
     assert langid.fit(empty)["languages"] == []
+    again = docs.union(docs).union(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert langid.sample(again, "lang") == langid.sample(docs, "lang")
 
 
 def test_language_gradients():
@@ -243,6 +245,8 @@ def test_quality_network(spark, docs, empty):
     scores = quality_net.score(docs, model, ("doc_id",)).collect()
     assert all(0 <= r.score <= 1 for r in scores) and len(scores) == docs.count()
     assert "constant" in quality_net.fit(empty, labels.limit(0))
+    twice = quality_net.sample(given.union(given), labels.union(labels), "quality")
+    assert twice == quality_net.sample(given, labels, "quality")
 
 
 def test_components(spark):
