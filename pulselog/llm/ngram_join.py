@@ -1,8 +1,9 @@
 """N-gram Jaccard self-join by signature trees, and the connected groups it links.
 
-A document is its set of word shingles. Two sets of Jaccard 0.9 or more differ in few elements; so
-when each set is split by hash into more parts than that, one part is equal in both. Equal parts
+A document is its set of word shingles. Two sets of high Jaccard similarity differ in few elements;
+so when each set is split by hash into more parts than that, one part is equal in both. Equal parts
 are the roots: documents without a shared part cannot reach the overlap and are pruned at once.
+Shingle width and least similarity are parameters; ``WORDS`` and ``PERCENT`` are those of op5.
 
 Within a root and size class a signature tree holds the documents: leaves by size, every node with the OR of its
 documents' token bitmaps and their range of sizes. Two nodes are traversed together, from the top,
@@ -35,7 +36,7 @@ from pulselog.llm.common import (
 WORDS = 3
 #: Link at intersection * 100 >= PERCENT * union.
 PERCENT = 90
-#: Sizes of one class share their number of parts.
+#: Sizes of one class share their number of parts. Above 100 / percent: a linked pair is in one class.
 CLASS = 1.5
 LEAF = 16
 FANOUT = 8
@@ -84,28 +85,36 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = WORDS):
     return row[new], h[new]
 
 
-def required(a, b):
+def required(a, b, percent: int = PERCENT):
     """The least intersection that links sets of sizes a and b."""
-    return -(-PERCENT * (a + b) // (100 + PERCENT))
+    return -(-percent * (a + b) // (100 + percent))
 
 
-def _classes(sizes: np.ndarray):
+def _classes(sizes: np.ndarray, percent: int = PERCENT):
     """(class, largest size, apt) of sets: their own size class, then the next one, which a set
     enters only if a linked partner may be in it."""
     level = np.floor(np.log(np.maximum(sizes, 1)) / np.log(CLASS) + 1e-9).astype(np.int64)
     for up in (0, 1):
         klass = level + up
         ceiling = np.floor(CLASS ** (klass + 1) + 1e-6).astype(np.int64)
-        # The larger set of a linked pair has at most size * 100 / PERCENT elements.
+        # The larger set of a linked pair has at most size * 100 / percent elements.
         floor = np.ceil(CLASS**klass - 1e-6).astype(np.int64)
-        yield klass, ceiling, (sizes > 0) & ((up == 0) | (sizes * 100 >= PERCENT * floor))
+        yield klass, ceiling, (sizes > 0) & ((up == 0) | (sizes * 100 >= percent * floor))
 
 
-def _parts(row: np.ndarray, h: np.ndarray, sizes: np.ndarray):
-    """(row, key): hashes of the parts of each row's set, in each of its classes."""
+def _parts(row: np.ndarray, h: np.ndarray, sizes: np.ndarray, percent: int = PERCENT):
+    """(row, key): hashes of the parts of each row's set, in each of its classes.
+
+    A linked pair differs in fewer elements than there are parts. Parts without an element would be
+    equal in many sets: a set that has more other parts than it may differ in leaves them out, as
+    one of the others is then equal in every linked partner.
+    """
     rows, keys = [], []
-    for klass, ceiling, apt in _classes(sizes):
-        number = 2 * ceiling * (100 - PERCENT) // (100 + PERCENT) + 1
+    # Parts that stay empty in sets of the largest size, twice as many as on average.
+    spare = 2 * np.exp(-(100 + percent) / (2 * (100 - percent)))
+    for klass, ceiling, apt in _classes(sizes, percent):
+        number = 2 * ceiling * (100 - percent) // (100 + percent) + 1
+        number += (number * spare).astype(np.int64)
         take = apt[row]
         r, x = row[take], h[take]
         part = (x >> np.uint64(20)) % number[r].astype(np.uint64)
@@ -117,41 +126,49 @@ def _parts(row: np.ndarray, h: np.ndarray, sizes: np.ndarray):
         owner = np.repeat(np.arange(len(sizes)), np.where(apt, number, 0))
         index = np.arange(total) - base[owner]
         tag = (klass[owner] * 1_000_003 + index).astype(np.uint64)
-        keys.append(mixed(sums + mixed(tag)))
-        rows.append(owner)
+        held = np.bincount(slot, minlength=total) > 0
+        partner = np.minimum(ceiling, sizes * 100 // percent)
+        differ = (sizes + partner) * (100 - percent) // (100 + percent)
+        enough = np.bincount(owner[held], minlength=len(sizes)) > differ
+        sent = held | ~enough[owner]
+        keys.append(mixed(sums + mixed(tag))[sent])
+        rows.append(owner[sent])
     return np.concatenate(rows), np.concatenate(keys)
 
 
 FEATURES = "doc bigint, size bigint, low bigint, high bigint, parts binary"
 
 
-def _features(batches):
-    for batch in batches:
-        doc = batch.column("_doc")
-        data, offsets = utf8(batch.column("_text"))
-        for i, j in row_spans(offsets, 1 << 20):
-            n = j - i
-            row, h = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            sizes = np.bincount(row, minlength=n)
-            low, high = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-            np.add.at(low, row, mixed(h))
-            np.add.at(high, row, mixed(h ^ np.uint64(0xA5A5A5A55A5A5A5A)))
-            owner, key = _parts(row, h, sizes)
-            order = np.argsort(owner, kind="stable")
-            owner, key = owner[order], key[order]
-            cut = np.searchsorted(owner, np.arange(n + 1))
-            short = np.ascontiguousarray(key.view(np.uint8).reshape(-1, 8)[:, :KEY]).tobytes()
-            parts = [short[KEY * cut[k] : KEY * cut[k + 1]] for k in range(n)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    doc.slice(i, n),
-                    pa.array(sizes.astype(np.int64)),
-                    pa.array(low.view(np.int64)),
-                    pa.array(high.view(np.int64)),
-                    pa.array(parts, pa.binary()),
-                ],
-                ["doc", "size", "low", "high", "parts"],
-            )
+def _features(words: int, percent: int):
+    def run(batches):
+        for batch in batches:
+            doc = batch.column("_doc")
+            data, offsets = utf8(batch.column("_text"))
+            for i, j in row_spans(offsets, 1 << 20):
+                n = j - i
+                row, h = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
+                sizes = np.bincount(row, minlength=n)
+                low, high = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+                np.add.at(low, row, mixed(h))
+                np.add.at(high, row, mixed(h ^ np.uint64(0xA5A5A5A55A5A5A5A)))
+                owner, key = _parts(row, h, sizes, percent)
+                order = np.argsort(owner, kind="stable")
+                owner, key = owner[order], key[order]
+                cut = np.searchsorted(owner, np.arange(n + 1))
+                short = np.ascontiguousarray(key.view(np.uint8).reshape(-1, 8)[:, :KEY]).tobytes()
+                parts = [short[KEY * cut[k] : KEY * cut[k + 1]] for k in range(n)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        doc.slice(i, n),
+                        pa.array(sizes.astype(np.int64)),
+                        pa.array(low.view(np.int64)),
+                        pa.array(high.view(np.int64)),
+                        pa.array(parts, pa.binary()),
+                    ],
+                    ["doc", "size", "low", "high", "parts"],
+                )
+
+    return run
 
 
 def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -206,7 +223,7 @@ def _deal(n: int):
     return run
 
 
-def _neighbours(n: int):
+def _neighbours(n: int, percent: int):
     """Neighbours by size among the documents that share a part, and the pairs found before."""
 
     def run(bucket: int, blobs: list[bytes]) -> pa.Table:
@@ -219,35 +236,38 @@ def _neighbours(n: int):
             order = np.lexsort((rows["node"], rows["size"], key))
             key, node, size = key[order], rows["node"][order], rows["size"][order].astype(np.int64)
             # Sizes ascend: a set further on that may link makes all sets between them apt as well.
-            apt = (key[1:] == key[:-1]) & (100 * size[:-1] >= PERCENT * size[1:])
+            apt = (key[1:] == key[:-1]) & (100 * size[:-1] >= percent * size[1:])
             pairs = _distinct_pairs(node[:-1][apt], node[1:][apt])
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return run
 
 
-def _sets(batches):
-    for batch in batches:
-        node = batch.column("_doc")
-        data, offsets = utf8(batch.column("_text"))
-        for i, j in row_spans(offsets, 1 << 20):
-            row, h = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            cut = np.searchsorted(row, np.arange(j - i + 1))
-            own = [h[cut[k] : cut[k + 1]] for k in range(j - i)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    node.slice(i, j - i),
-                    pa.array(np.diff(cut).astype(np.int64)),
-                    pa.array([bitmap(x, max(len(x), 1)).tobytes() for x in own], pa.binary()),
-                    pa.array([x.tobytes() for x in own], pa.binary()),
-                ],
-                ["node", "size", "bits", "tokens"],
-            )
+def _sets(words: int):
+    def run(batches):
+        for batch in batches:
+            node = batch.column("_doc")
+            data, offsets = utf8(batch.column("_text"))
+            for i, j in row_spans(offsets, 1 << 20):
+                row, h = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
+                cut = np.searchsorted(row, np.arange(j - i + 1))
+                own = [h[cut[k] : cut[k + 1]] for k in range(j - i)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        node.slice(i, j - i),
+                        pa.array(np.diff(cut).astype(np.int64)),
+                        pa.array([bitmap(x, max(len(x), 1)).tobytes() for x in own], pa.binary()),
+                        pa.array([x.tobytes() for x in own], pa.binary()),
+                    ],
+                    ["node", "size", "bits", "tokens"],
+                )
+
+    return run
 
 
-def possible(a: int, x: bytes, b: int, y: bytes) -> bool:
+def possible(a: int, x: bytes, b: int, y: bytes, percent: int = PERCENT) -> bool:
     """Whether sets of sizes a and b with these bitmaps may link."""
-    need = required(a, b)
+    need = required(a, b, percent)
     if min(a, b) < max(need, 1):
         return False
     x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
@@ -261,31 +281,36 @@ def possible(a: int, x: bytes, b: int, y: bytes) -> bool:
     return common + slack >= need
 
 
-def _possible(batches):
-    for batch in batches:
-        columns = [batch.column(n).to_pylist() for n in ("m", "x", "n", "y")]
-        same = pa.array([possible(*row) for row in zip(*columns)], pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), same], ["a", "b", "same"])
+def _possible(percent: int):
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(n).to_pylist() for n in ("m", "x", "n", "y")]
+            same = pa.array([possible(*row, percent) for row in zip(*columns)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), same], ["a", "b", "same"])
+
+    return run
 
 
-def linked(x: bytes, y: bytes) -> bool:
+def linked(x: bytes, y: bytes, percent: int = PERCENT) -> bool:
     """The exact test on two sorted sets of hashes."""
     a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    need = required(len(a), len(b))
+    need = required(len(a), len(b), percent)
     if not len(a) or not len(b) or min(len(a), len(b)) < need:
         return False
     at = np.minimum(np.searchsorted(a, b), len(a) - 1)
     return int((a[at] == b).sum()) >= need
 
 
-def _verify(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            same = [linked(x, y) for x, y in zip(part.column("x").to_pylist(), part.column("y").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("a"), part.column("b"), pa.array(same, pa.bool_())], ["a", "b", "same"]
-            )
+def _verify(percent: int):
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                both = zip(part.column("x").to_pylist(), part.column("y").to_pylist())
+                same = pa.array([linked(x, y, percent) for x, y in both], pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), same], ["a", "b", "same"])
+
+    return run
 
 
 class Tree:
@@ -317,7 +342,7 @@ class Tree:
         return LEAF if level == 1 else FANOUT
 
 
-def traverse(one: Tree, two: Tree, same: bool):
+def traverse(one: Tree, two: Tree, same: bool, percent: int = PERCENT):
     """(i, j) of the documents that may link, by dual traversal from both roots down.
 
     Of a document with k bits, those missing in the other node's bitmap are tokens no partner
@@ -331,14 +356,14 @@ def traverse(one: Tree, two: Tree, same: bool):
         keep = [np.zeros(0, bool)]
         for at in range(0, len(i), 4096):
             x, y = i[at : at + 4096], j[at : at + 4096]
-            low = np.maximum(a[0][x], -(-PERCENT * b[0][y] // 100))
-            fits = (low <= a[1][x]) & (PERCENT * a[0][x] <= 100 * b[1][y])
+            low = np.maximum(a[0][x], -(-percent * b[0][y] // 100))
+            fits = (low <= a[1][x]) & (percent * a[0][x] <= 100 * b[1][y])
             common = np.bitwise_count(a[4][x] & b[4][y]).sum(axis=1, dtype=np.int64)
             # Tokens of a document inside the common bits: those bits and its slack.
             most = np.minimum(
                 np.minimum(a[1][x], common + a[3][x]), np.minimum(b[1][y], common + b[3][y])
             )
-            keep.append(fits & (most >= required(a[0][x], b[0][y])))
+            keep.append(fits & (most >= required(a[0][x], b[0][y], percent)))
         keep = np.concatenate(keep)
         i, j = i[keep], j[keep]
         if up == 0 and down == 0:
@@ -379,52 +404,62 @@ def bitmap(tokens: np.ndarray, largest: int) -> np.ndarray:
     return np.packbits(out)
 
 
-def _sign(batches):
+def _sign(percent: int):
     """Each document's signature in each of its classes."""
-    for batch in batches:
-        rows = []
-        for row in batch.to_pylist():
-            tokens = np.frombuffer(row["tokens"], np.uint64)
-            for klass, largest, apt in _classes(np.array([len(tokens)])):
-                if apt[0]:
-                    bits = bitmap(tokens, int(largest[0])).tobytes()
-                    own = row["root"], int(klass[0]), row["node"], row["component"]
-                    rows.append((*own, len(tokens), bits))
-        names = [x.split()[0] for x in SIGNED.split(", ")]
-        columns = list(zip(*rows)) or [[]] * 6
-        types = [pa.int64()] * 5 + [pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-
-
-def _traverse_root(table: pa.Table) -> pa.Table:
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                tokens = np.frombuffer(row["tokens"], np.uint64)
+                for klass, largest, apt in _classes(np.array([len(tokens)]), percent):
+                    if apt[0]:
+                        bits = bitmap(tokens, int(largest[0])).tobytes()
+                        own = row["root"], int(klass[0]), row["node"], row["component"]
+                        rows.append((*own, len(tokens), bits))
+            names = [x.split()[0] for x in SIGNED.split(", ")]
+            columns = list(zip(*rows)) or [[]] * 6
+            types = [pa.int64()] * 5 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    return run
+
+
+def _traverse_root(percent: int):
     """Candidate pairs of different groups between two trees (or within one) of a root."""
-    table = table.sort_by([("size", "ascending"), ("node", "ascending")])
-    left, right = table["left"][0].as_py(), table["right"][0].as_py()
-    sides = []
-    for tree in (left, right):
-        own = table.filter(pc.equal(table["tree"], tree))
-        bits = np.frombuffer(b"".join(own["bits"].to_pylist()), np.uint64)
-        if not own.num_rows:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        grown = Tree(own["size"].to_numpy(), bits.reshape(own.num_rows, -1))
-        sides.append((grown, own["node"].to_numpy(), own["component"].to_numpy()))
-    (one, name, group), (two, other, others) = sides
-    i, j = traverse(one, two, left == right)
-    apart = group[i] != others[j]
-    a, b = name[i[apart]], other[j[apart]]
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("size", "ascending"), ("node", "ascending")])
+        left, right = table["left"][0].as_py(), table["right"][0].as_py()
+        sides = []
+        for tree in (left, right):
+            own = table.filter(pc.equal(table["tree"], tree))
+            bits = np.frombuffer(b"".join(own["bits"].to_pylist()), np.uint64)
+            if not own.num_rows:
+                return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+            grown = Tree(own["size"].to_numpy(), bits.reshape(own.num_rows, -1))
+            sides.append((grown, own["node"].to_numpy(), own["component"].to_numpy()))
+        (one, name, group), (two, other, others) = sides
+        i, j = traverse(one, two, left == right, percent)
+        apart = group[i] != others[j]
+        a, b = name[i[apart]], other[j[apart]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
+
+
+def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(each document's size and ``node``, the component of each linked node).
 
     Documents with equal sets are one node, named by their smallest doc_id.
     """
+    if percent * CLASS <= 100:
+        raise ValueError(f"percent has to be above {100 / CLASS:.0f}")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = docs.select(
         F.col("doc_id").cast("long").alias("_doc"), F.coalesce("text", F.lit("")).alias("_text")
     )
-    features = written(named.mapInArrow(_features, FEATURES), "sets")
+    features = written(named.mapInArrow(_features(words, percent), FEATURES), "sets")
     sets = features.where("size > 0 and doc is not null").groupBy("low", "high", "size").agg(
         F.min("doc").alias("node")
     )
@@ -436,12 +471,12 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = features.withColumnRenamed("doc", "node").join(first, ["node", "low", "high"])
     nodes = nodes.dropDuplicates(["node", "low", "high"]).select("node", "size", "parts")
     near = nodes.mapInArrow(_deal(4 * parts), "bucket int, blob binary")
-    near = written(by_bucket(near, _neighbours(4 * parts), "a bigint, b bigint").distinct(), "near")
+    near = written(by_bucket(near, _neighbours(4 * parts, percent), "a bigint, b bigint").distinct(), "near")
     roots = written(components(near).withColumnRenamed("component", "root"), "roots")
     # A doc_id may stand for several sets: each of them is compared.
     tokens = named.join(roots.select(F.col("node").alias("_doc")), "_doc").select("_doc", "_text")
     tokens = written(
-        tokens.mapInArrow(_sets, "node bigint, size bigint, bits binary, tokens binary"), "tokens"
+        tokens.mapInArrow(_sets(words), "node bigint, size bigint, bits binary, tokens binary"), "tokens"
     )
 
     def likely(pairs: DataFrame) -> DataFrame:
@@ -449,14 +484,14 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         left = tokens.select(F.col("node").alias("a"), F.col("size").alias("m"), F.col("bits").alias("x"))
         right = tokens.select(F.col("node").alias("b"), F.col("size").alias("n"), F.col("bits").alias("y"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "m", "x", "n", "y")
-        both = both.mapInArrow(_possible, "a bigint, b bigint, same boolean")
+        both = both.mapInArrow(_possible(percent), "a bigint, b bigint, same boolean")
         return both.where("same").select("a", "b").distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = tokens.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
         right = tokens.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        both = both.mapInArrow(_verify, "a bigint, b bigint, same boolean")
+        both = both.mapInArrow(_verify(percent), "a bigint, b bigint, same boolean")
         return written(both.where("same").select("a", "b").distinct(), "links")
 
     found = verified(likely(near))
@@ -470,7 +505,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Roots whose documents are one group already have nothing to add.
     torn = labelled.join(counted.where("x <> y").select("root"), "root")
     torn = torn.join(tokens.select("node", "tokens"), "node")
-    signed = torn.select("root", "node", "component", "tokens").mapInArrow(_sign, SIGNED)
+    signed = torn.select("root", "node", "component", "tokens").mapInArrow(_sign(percent), SIGNED)
     signed = written(signed, "signatures")
     trees = signed.groupBy("root", "class").agg(F.ceil(F.count("*") / TREE).cast("int").alias("n"))
     torn = signed.join(trees, ["root", "class"])
@@ -482,7 +517,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.least("tree", "other").alias("left"),
         F.greatest("tree", "other").alias("right"),
     )
-    rest = torn.groupBy("root", "class", "left", "right").applyInArrow(_traverse_root, "a bigint, b bigint")
+    rest = torn.groupBy("root", "class", "left", "right").applyInArrow(
+        _traverse_root(percent), "a bigint, b bigint"
+    )
     rest = written(rest.where("a <> b").distinct().join(near, ["a", "b"], "left_anti"), "rest")
     more = verified(rest)
     if not more.isEmpty():
@@ -490,14 +527,16 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return classes, groups
 
 
-def groups(docs: DataFrame) -> DataFrame:
+def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id (smallest doc_id reachable).
 
+    Documents link when their sets of shingles of ``words`` words have ``percent`` / 100 of their
+    union in common.
     Null and empty texts have no shingle and are linked with nothing. Repeated rows get equal
     rows; rows that share a doc_id count as one document for links. A null doc_id is linked with
     nothing and has a null component. Other columns play no part.
     """
-    classes, joined = links(docs)
+    classes, joined = links(docs, words, percent)
     return classes.join(joined, "node", "left").select(
         F.col("doc").alias("doc_id"),
         F.col("size").alias("n_shingles"),
