@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulselog.session import scratch_dir
@@ -164,3 +164,57 @@ def components(edges: DataFrame) -> DataFrame:
                 edges.select("u", "u").distinct()
             )
         seen = now
+
+
+def tag(column: str, last: bool = False) -> Column:
+    """A text column as key without nulls, in bytewise order; null comes first, or last."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit("~" if last else "-"))
+
+
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ``before``: what earlier rows of the same ``group`` add up to in sorted batches."""
+    held_group, held = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = batch["group"].dictionary_encode()
+        ids = names.indices.to_numpy()
+        amounts = batch["amount"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        before = np.cumsum(amounts) - amounts
+        before -= np.repeat(before[starts], np.diff(np.r_[starts, len(ids)]))
+        if batch["group"][0].as_py() == held_group:
+            before[: starts[1] if len(starts) > 1 else None] += held
+        held_group = batch["group"][-1].as_py()
+        held = before[-1] + amounts[-1]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(before, pa.int64())], [*batch.schema.names, "before"]
+        )
+
+
+def prefix_sums(rows: DataFrame, order: tuple[str, ...], purpose: str) -> DataFrame:
+    """``rows`` with ``before`` and ``total``: sums of ``amount`` over earlier rows and all rows.
+
+    Sums run within ``group`` (a text without nulls) by ``order``, and ``amount`` is a bigint.
+    Rows are range-sorted, so a group of any size spreads over tasks: each adds up its own rows,
+    and the sums of earlier tasks come from a table of one row for each task and group in it.
+    Rows alike in all of ``order`` may fall to several tasks too. Null sorts first.
+    """
+    place = F.monotonically_increasing_id()
+    stored = written(rows, f"{purpose}-rows").withColumn("tie", place)
+    dealt = stored.repartitionByRange("group", *order, "tie")
+    dealt = dealt.sortWithinPartitions("group", *order, "tie").drop("tie")
+    dealt = dealt.withColumn("part", F.spark_partition_id())
+    schema = ", ".join(f"`{n}` {k}" for n, k in dealt.dtypes)
+    summed = written(dealt.mapInArrow(_running, f"{schema}, before bigint"), f"{purpose}-runs")
+    parts = summed.groupBy("group", "part").agg(F.sum("amount").alias("part_sum"))
+    same = Window.partitionBy("group")
+    offsets = parts.select(
+        "group",
+        "part",
+        (F.sum("part_sum").over(same.orderBy("part")) - F.col("part_sum")).alias("offset"),
+        F.sum("part_sum").over(same).alias("total"),
+    )
+    joined = summed.join(written(offsets, f"{purpose}-offsets"), ["group", "part"])
+    before = (F.col("before") + F.col("offset")).alias("before")
+    return joined.select(*rows.columns, before, "total")

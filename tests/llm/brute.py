@@ -140,3 +140,91 @@ def benchmark_overlaps(docs, items, stretch: int = 20, agree: float = 0.8) -> se
                         found.add((doc, item))
                         break
     return found
+
+
+def merkle(rows, found):
+    """rows: (doc_id, source, lang, n_chars, text); found: texts that lie there now."""
+    from hashlib import sha256
+
+    def h(*parts):
+        return sha256("".join(parts).encode()).hexdigest()
+
+    def enc(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+    def tree(leaves):
+        """Root, and each leaf's way up as (digests before, digests behind)."""
+        ways, nodes, at = [[] for _ in leaves], list(leaves), list(range(len(leaves)))
+        while len(nodes) > 1:
+            for leaf, i in enumerate(at):
+                run = nodes[i - i % 3 : i - i % 3 + 3]
+                ways[leaf].append((run[: i % 3], run[i % 3 + 1 :]))
+            nodes = [h(*nodes[i : i + 3]) for i in range(0, len(nodes), 3)]
+            at = [i // 3 for i in at]
+        return nodes[0], ways
+
+    groups = {}
+    for row, text in zip(rows, found):
+        fixed = [enc(v) for v in row[:4]]
+        groups.setdefault(row[1], []).append((row[0], h(*fixed, enc(row[4])), h(*fixed, enc(text))))
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = []
+    for name in names:
+        groups[name].sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        trees.append(tree([r[1] for r in groups[name]]))
+    root, tops = tree([t[0] for t in trees])
+    out = []
+    for name, (subroot, ways), top in zip(names, trees, tops):
+        for (doc_id, leaf, claim), way in zip(groups[name], ways):
+            for left, right in way + top:
+                claim = h(*left, claim, *right)
+            proof = [s for left, right in way + top for s in left + right]
+            out.append((doc_id, leaf, subroot, root, h(*proof), claim, claim == root, proof))
+    return out
+
+
+def hard_negatives(rows, anchors_every):
+    """rows: (vec_id, label, vector); anchors are ids divisible by ``anchors_every``."""
+    import math
+
+    kept = []
+    for vec_id, label, vector in rows:
+        if vec_id is None or label is None or vector is None:
+            continue
+        if any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        kept.append((vec_id, label, [math.floor(256 * x) for x in vector]))
+    anchors = {}
+    for vec_id, label, code in kept:
+        if vec_id % anchors_every == 0:
+            anchors[vec_id] = min(anchors.get(vec_id, (label, code)), (label, code))
+    out = []
+    for anchor, (own, query) in anchors.items():
+        scored = [
+            (-sum(a * b for a, b in zip(query, code)), vec_id, label)
+            for vec_id, label, code in kept
+            if vec_id != anchor
+        ]
+        scored.sort()
+        for minus, positive, _ in [s for s in scored if s[2] == own][:5]:
+            fits = [s for s in scored if s[2] != own and -30 * minus <= -100 * s[0] <= -90 * minus]
+            for rank, (score, negative, _) in enumerate(fits[:10], 1):
+                out.append((anchor, positive, rank, negative, -minus, -score))
+    return out
+
+
+def mix_targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
+    """sizes: words by source."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    target, budget, open_ = {}, share * sum(sizes.values()), set(names)
+    while open_:
+        part = budget / sum(weight[s] for s in open_)
+        above = {s for s in open_ if weight[s] * part > most * sizes[s]}
+        if not above:
+            return target | {s: weight[s] * part for s in open_}
+        for s in above:
+            target[s] = most * sizes[s]
+            budget -= target[s]
+        open_ -= above
+    return target
