@@ -6,7 +6,7 @@ from pulselog.operators.exposition import (
     push_requests,
     push_url,
 )
-from pulselog.operators.latest import latest_samples, scrape_samples
+from pulselog.operators.latest import PUSH_GROUP, latest_samples, scrape_samples
 from pulselog.operators.log_counts import event_log_counts
 from pulselog.operators.messages import kafka_rows
 from pulselog.operators.records import (
@@ -19,6 +19,7 @@ from pulselog.operators.rollup import stage_rollup
 from pulselog.operators.words import top_words, word_count, words
 
 __all__ = [
+    "PUSH_GROUP",
     "RECORD_NAMES",
     "application_records",
     "event_log_counts",

@@ -442,6 +442,12 @@ SELECT source, raw, replace(
 FROM (SELECT source, raw, trim(regexp_replace(raw, '[^{valid}]', ' ', 'g')) AS words FROM ({raw}))"""
 
 
+_PUSH_STATE = f"""
+SELECT job, instance, type, appid, metric, arg_max(value, ("epochMillis", value)) AS value,
+    max("epochMillis") AS "epochMillis"
+FROM ({_SAMPLES}) GROUP BY ALL"""
+
+
 ORACLES: dict[str, str] = {
     "word_count": _WORDS,
     "word_count_top": f"SELECT * FROM ({_WORDS}) ORDER BY count DESC, word LIMIT 20",
@@ -468,10 +474,7 @@ SELECT 'http://{GATEWAY}/metrics/job/{JOB}/instance/{INSTANCE}/type/' || type ||
         [kind.rows(f"false AS keyed, {_json(kind, pretty=True)} AS value") for kind in _BASIC]
     ),
     "latest_samples": _LATEST_FULL,
-    "latest_push_state": f"""
-SELECT job, instance, type, appid, metric, arg_max(value, ("epochMillis", value)) AS value,
-    max("epochMillis") AS "epochMillis"
-FROM ({_SAMPLES}) GROUP BY ALL""",
+    "latest_push_state": _PUSH_STATE,
     "scrape_samples": _scrapes(500),
     "scrape_samples_15s": _scrapes(15000),
     "sanitize_metric_name": _sanitized("a-zA-Z0-9_:"),
@@ -482,5 +485,6 @@ FROM ({_SAMPLES}) GROUP BY ALL""",
     "text_files_word_count": _WORDS,
     "event_stream_records": _RECORDS,
     "latest_samples_stream": _LATEST,
+    "latest_push_state_stream": _PUSH_STATE,
     "scrape_samples_stream": _scrapes(15000),
 }

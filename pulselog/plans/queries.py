@@ -23,6 +23,7 @@ from pulselog.session import scratch_dir, tune
 from pulselog.sinks import write_json
 from pulselog.sources import parse_events, read_event_stream, read_events, read_lines
 from pulselog.sources import table_logs as logs
+from pulselog.sources.replay import Replay, ordered_copy, plan_replay, read_replay
 from pulselog.sources.table_logs import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,10 +31,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 JOB = "telemetry"
 GATEWAY = "gateway:9091"
 SERIES = ("user_id", "event_type")
-FILES_PER_BATCH = 2
 LOG_FILES_PER_BATCH = 16
-# A stored table's files come in any order, so a replay of it may not drop late rows.
-REPLAY_DELAY = "36500 days"
+# Replays run in the order of event times, so a short delay drops nothing and bounds the state.
+REPLAY_DELAY = "1 minute"
+REPLAY_FILES = 4
 
 # Record kind -> the lines it occurs in.
 _LINES = {
@@ -223,37 +224,59 @@ def event_stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_event_stream(
         spark, log, schema.EXTENDED_KINDS, max_files_per_trigger=LOG_FILES_PER_BATCH
     )
-    checkpoint = scratch_dir(spark, "checkpoint")
-    stream = streaming.append_records(ops.records(events, extended=True), out, checkpoint)
-    stream.awaitTermination()
-    columns = "metricType string, appId string, epochMillis bigint, payload string, name string"
-    return spark.read.schema(columns).parquet(out)
+    table = streaming.records_table(spark, out)
+    records = ops.records(events, extended=True)
+    streaming.stream_to(
+        records, table, scratch_dir(spark, "checkpoint"), mode="append"
+    ).awaitTermination()
+    return table.read().drop("batch")
 
 
 def _event_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of its files, several batches where it has many."""
-    table = spark.read.parquet(f"{sf_dir}/events.parquet")
-    source = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
-    # A file source takes one file only as the match of a pattern; a folder matches as well.
-    return _series(source.parquet(f"{sf_dir}/events.parque[t]"))
+    """The events table as a stream in the order of its event times."""
+    table = read_table(spark, sf_dir, "events")
+    replay = plan_replay(spark, table, "ts", delay_micros=0, files=REPLAY_FILES)
+    return _series(read_replay(spark, replay, table))
 
 
 def latest_samples_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, checkpoint = scratch_dir(spark, "latest"), scratch_dir(spark, "checkpoint")
-    latest = streaming.latest_stream(
-        _event_table_stream(spark, sf_dir), SERIES, "micros", "event_id"
+    latest = streaming.recent_stream(
+        _event_table_stream(spark, sf_dir), SERIES, "ts", "micros", "event_id", delay=REPLAY_DELAY
     )
-    streaming.upsert_log(latest, out, checkpoint).awaitTermination()
-    return streaming.merge_latest(spark.read.parquet(out), SERIES)
+    table = streaming.latest_table(spark, scratch_dir(spark, "latest"), SERIES, order="seq")
+    streaming.stream_to(latest, table, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return table.read().select(*SERIES, "value")
+
+
+def latest_push_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The push state by a stream whose state ends with the entities, in order of event times."""
+    samples = prometheus_samples(spark, sf_dir).select(
+        "*",
+        F.timestamp_millis("epochMillis").alias("at"),
+        streaming.push_entity(F.col("type")).alias("entity"),
+    )
+    path = scratch_dir(spark, "samples")
+    files = ordered_copy(samples, "at", path, REPLAY_FILES).count()
+    latest = streaming.closing_stream(
+        read_replay(spark, Replay(path, files, 0), samples),
+        F.col("at"),
+        streaming.push_ended(F.col("type")),
+        delay=REPLAY_DELAY,
+    )
+    table = streaming.latest_table(spark, scratch_dir(spark, "push-state"), ops.PUSH_GROUP)
+    streaming.stream_to(latest, table, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return table.read().select(*ops.PUSH_GROUP, "value", "epochMillis")
 
 
 def scrape_samples_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, checkpoint = scratch_dir(spark, "scrapes"), scratch_dir(spark, "checkpoint")
     ticks = streaming.scrape_stream(
-        _event_table_stream(spark, sf_dir), SERIES, "ts", "event_id", every="15 seconds", delay=REPLAY_DELAY
-    ).select(*SERIES, F.unix_millis("tick.end").alias("scrapeMillis"), "value")
-    streaming.upsert_log(ticks, out, checkpoint).awaitTermination()
-    return streaming.merge_latest(spark.read.parquet(out), (*SERIES, "scrapeMillis"))
+        _event_table_stream(spark, sf_dir), SERIES, "ts", "event_id", every="15 seconds",
+        delay=REPLAY_DELAY,
+    ).select(*SERIES, F.unix_millis("tick.end").alias("scrapeMillis"), "value")
+    keys = (*SERIES, "scrapeMillis")
+    table = streaming.latest_table(spark, scratch_dir(spark, "scrapes"), keys)
+    streaming.stream_to(ticks, table, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return table.read().select(*keys, "value")
 
 
 def _tuned(query: Query) -> Query:
@@ -295,6 +318,7 @@ QUERIES: dict[str, Query] = {
         "text_files_word_count": text_files_word_count,
         "event_stream_records": event_stream_records,
         "latest_samples_stream": latest_samples_stream,
+        "latest_push_state_stream": latest_push_state_stream,
         "scrape_samples_stream": scrape_samples_stream,
     }.items()
 }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampNTZType
 
-from pulselog.functions.order import epoch_micros
+from pulselog.functions.order import epoch_micros, order_key
 from pulselog.operators.latest import PUSH_GROUP, latest_samples, scrape_samples
 from pulselog.sinks.fanout import FanOut, Sink
 
@@ -47,13 +47,37 @@ def latest_stream(
 ) -> DataFrame:
     """The latest value per key, for ``update`` mode.
 
-    State is one row per key, and push groups carry entity ids: a stream that
-    runs on should use the RocksDB state store and restart its state with the
-    gateway.
+    State is one row per key and never ends: for a bounded set of keys. Series that come and go
+    want :func:`recent_stream`, entities with an end :func:`closing.closing_stream`.
     """
     return latest_samples(samples, keys, time, tie, value)
 
 
+def recent_stream(
+    samples: DataFrame,
+    keys: tuple[str, ...],
+    at: str,
+    time: str,
+    tie: str,
+    value: str = "value",
+    keep: str = "1 day",
+    *,
+    delay: str,
+) -> DataFrame:
+    """The latest value per key and span ``keep`` of event time, for ``update`` mode.
+
+    A span's rows leave the state when the watermark passes its end, so state holds the series of
+    the open spans alone. ``seq`` orders a key's rows over spans and batches: a
+    ``folders.latest_table`` of the keys ordered by it holds each key's latest value.
+    """
+    if isinstance(samples.schema[at].dataType, TimestampNTZType):
+        samples = samples.withColumn(at, F.timestamp_micros(epoch_micros(F.col(at))))
+    span = F.window(at, keep).alias("span")
+    marked = samples.withWatermark(at, delay).withColumn("span", span)
+    latest = latest_samples(marked, (*keys, "span"), time, tie, value)
+    return latest.withColumn("seq", order_key(F.col(time), F.col(tie))).drop("span")
+
+
 def scrape_stream(
     samples: DataFrame,
     keys: tuple[str, ...],
