@@ -48,13 +48,31 @@ def task_status(info: str) -> str:
         ELSE 'SUCCESS' END"""
 
 
+def frames_text(frames: str) -> str:
+    """A line per stack frame, as Java words a frame: ``Class.method(File:line)``.
+
+    Line -2 marks native code; other negative ones and missing files are unknown places.
+    """
+    place = """CASE WHEN f.`Line Number` = -2 THEN 'Native Method'
+        WHEN f.`File Name` IS NULL THEN 'Unknown Source'
+        WHEN f.`Line Number` >= 0 THEN concat(f.`File Name`, ':', f.`Line Number`)
+        ELSE f.`File Name` END"""
+    frame = f"concat('        ', f.`Declaring Class`, '.', f.`Method Name`, '(', {place}, ')')"
+    return f"array_join(transform({frames}, f -> {frame}), '\\n')"
+
+
 def failure_text(reason: str) -> str:
-    """Error text of a `Task End Reason`, worded as Spark words it; '' on success."""
+    """Error text of a `Task End Reason`, worded as Spark words it; '' on success.
+
+    An exception is its full trace; without one, class, description and the lines of its frames.
+    """
     manager = f"{reason}.`Block Manager Address`"
     return f"""CASE coalesce({reason}.Reason, 'Success')
         WHEN 'Success' THEN ''
         WHEN 'ExceptionFailure' THEN coalesce(
             {reason}.`Full Stack Trace`,
+            concat({reason}.`Class Name`, ': ', coalesce({reason}.Description, ''), '\\n',
+                {frames_text(f"{reason}.`Stack Trace`")}),
             concat_ws(': ', {reason}.`Class Name`, {reason}.Description))
         WHEN 'FetchFailed' THEN concat(
             'FetchFailed(',

@@ -6,7 +6,12 @@ from pulselog.operators.exposition import (
     push_requests,
     push_url,
 )
-from pulselog.operators.latest import PUSH_GROUP, latest_samples, scrape_samples
+from pulselog.operators.latest import (
+    PUSH_GROUP,
+    latest_samples,
+    scrape_samples,
+    value_intervals,
+)
 from pulselog.operators.log_counts import event_log_counts
 from pulselog.operators.messages import kafka_rows
 from pulselog.operators.records import (
@@ -34,6 +39,7 @@ __all__ = [
     "scrape_samples",
     "stage_rollup",
     "top_words",
+    "value_intervals",
     "word_count",
     "words",
 ]

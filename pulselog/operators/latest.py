@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, TimestampNTZType
 
@@ -65,3 +67,47 @@ def scrape_samples(
     return samples.groupBy(*keys, F.window(time, every).alias("tick")).agg(
         _newest(value, micros, tie).alias(value)
     )
+
+
+def value_intervals(
+    samples: DataFrame,
+    keys: tuple[str, ...],
+    time: str = "ts",
+    tie: str = "seq",
+    value: str = "value",
+    every: str = "500 milliseconds",
+    span_micros: int = 86_400_000_000,
+) -> DataFrame:
+    """What scrapes see between pushes too: per key one row for each change of the value.
+
+    Scrapes from ``first_tick`` on see ``value``, up to the one at ``last_tick``; the newest value of
+    a key has none. That is what ticks × series rows would say, in as many rows as there are
+    changes. Nulls are values. Neighbours are found within spans of ``span_micros``, and spans
+    meet by one row each, so a series with very many ticks spreads over tasks.
+    """
+    ticks = scrape_samples(samples, keys, time, tie, value, every)
+    end = F.col("tick.end")
+    zoneless = isinstance(samples.schema[time].dataType, TimestampNTZType)
+    span = F.floor(epoch_micros(end, zoneless) / F.lit(span_micros))
+    rows = ticks.select(*keys, F.struct(value).alias("_seen"), end.alias("_tick"), span.alias("_span"))
+    inside = Window.partitionBy(*keys, "_span").orderBy("_tick")
+    along = Window.partitionBy(*keys).orderBy("_span")
+
+    def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+        same = [left[c].eqNullSafe(right[c]) for c in (*keys, "_span")]
+        found = left.join(right, reduce(Column.__and__, same), "left")
+        return found.select(left["*"], *[right[c] for c in right.columns if c not in (*keys, "_span")])
+
+    lasts = rows.groupBy(*keys, "_span").agg(F.max_by("_seen", "_tick").alias("_last"))
+    lasts = lasts.select(*keys, "_span", F.lag("_last").over(along).alias("_earlier"))
+    known = F.coalesce(F.lag("_seen").over(inside), F.col("_earlier"))
+    changes = beside(rows, lasts).withColumn("_known", known)
+    changes = changes.where(F.col("_known").isNull() | ~F.col("_known").eqNullSafe(F.col("_seen")))
+    firsts = changes.groupBy(*keys, "_span").agg(F.min("_tick").alias("_first"))
+    after = along.rowsBetween(1, Window.unboundedFollowing)
+    firsts = firsts.select(*keys, "_span", F.min("_first").over(after).alias("_later"))
+    following = F.coalesce(F.lead("_tick").over(inside), F.col("_later"))
+    last = following - F.expr(f"INTERVAL {every}")
+    return beside(changes, firsts).select(
+        *keys, f"_seen.{value}", F.col("_tick").alias("first_tick"), last.alias("last_tick")
+    )

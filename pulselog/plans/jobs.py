@@ -30,7 +30,7 @@ def telemetry(
     targets: dict[str, sinks.Sink] = {}
     if settings.push_gateway:
 
-        def push(batch: DataFrame, batch_id: int) -> None:
+        def push(batch: DataFrame, batch_id: int) -> sinks.Delivery:
             texts = ops.exposition_text(batch, settings.extended, compat)
             requests = ops.push_requests(
                 texts, settings.push_gateway, settings.job, settings.instance
@@ -39,6 +39,7 @@ def telemetry(
             if outcome.failed:
                 total = outcome.failed + outcome.delivered
                 log.warning("batch %d: %d of %d pushes failed", batch_id, outcome.failed, total)
+            return outcome
 
         targets["push"] = push
     if settings.kafka_broker or settings.kafka_topic:

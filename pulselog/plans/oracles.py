@@ -447,6 +447,29 @@ SELECT job, instance, type, appid, metric, arg_max(value, ("epochMillis", value)
     max("epochMillis") AS "epochMillis"
 FROM ({_SAMPLES}) GROUP BY ALL"""
 
+_INTERVALS = f"""
+SELECT user_id, event_type, value, "scrapeMillis" AS "firstMillis",
+    lead("scrapeMillis") OVER series - 500 AS "lastMillis"
+FROM (SELECT *, lag(value) OVER earlier AS before, row_number() OVER earlier AS turn
+    FROM ({_scrapes(500)})
+    WINDOW earlier AS (PARTITION BY user_id, event_type ORDER BY "scrapeMillis"))
+WHERE turn = 1 OR before IS DISTINCT FROM value
+WINDOW series AS (PARTITION BY user_id, event_type ORDER BY "scrapeMillis")"""
+
+# The lines that Java prints for the frames of `table_logs.FRAMES`.
+_FRAMES = """list_slice([
+        concat('        job.Part', l_partkey % 10, '.read(Part.scala:', l_linenumber * 10, ')'),
+        '        jdk.internal.Unsafe.park(Native Method)',
+        concat('        job.Generated', l_suppkey, '.apply(Unknown Source)'),
+        '        job.Main$.main(Main.scala)'
+    ], 1, l_orderkey % 5)"""
+_FAILURES = f"""
+SELECT task_id AS "taskId", attempt AS "attemptNumber", 'FAILED' AS status,
+    coalesce(full_trace, concat('java.io.IOException: ', coalesce(description, ''), chr(10),
+        coalesce(array_to_string({_FRAMES}, chr(10)), ''))) AS "failureReason"
+FROM (SELECT *, {", ".join(f"{sql} AS {name}" for name, sql in logs.FAILED_TASK.items())}
+    FROM {_ITEMS} WHERE l_returnflag = 'R')"""
+
 
 ORACLES: dict[str, str] = {
     "word_count": _WORDS,
@@ -477,6 +500,8 @@ SELECT 'http://{GATEWAY}/metrics/job/{JOB}/instance/{INSTANCE}/type/' || type ||
     "latest_push_state": _PUSH_STATE,
     "scrape_samples": _scrapes(500),
     "scrape_samples_15s": _scrapes(15000),
+    "value_intervals": _INTERVALS,
+    "task_failures": _FAILURES,
     "sanitize_metric_name": _sanitized("a-zA-Z0-9_:"),
     "sanitize_label_name": _sanitized("a-zA-Z0-9_"),
     "event_files_records": _RECORDS,
@@ -484,6 +509,7 @@ SELECT 'http://{GATEWAY}/metrics/job/{JOB}/instance/{INSTANCE}/type/' || type ||
     "event_files_counts": _COUNTS,
     "text_files_word_count": _WORDS,
     "event_stream_records": _RECORDS,
+    "event_tail_records": _union([_record_rows(kind) for kind in _BASIC]),
     "latest_samples_stream": _LATEST,
     "latest_push_state_stream": _PUSH_STATE,
     "scrape_samples_stream": _scrapes(15000),

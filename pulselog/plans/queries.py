@@ -21,7 +21,13 @@ from pulselog.functions import (
 )
 from pulselog.session import scratch_dir, tune
 from pulselog.sinks import write_json
-from pulselog.sources import parse_events, read_event_stream, read_events, read_lines
+from pulselog.sources import (
+    parse_events,
+    read_event_stream,
+    read_events,
+    read_lines,
+    tail_lines,
+)
 from pulselog.sources import table_logs as logs
 from pulselog.sources.replay import Replay, ordered_copy, plan_replay, read_replay
 from pulselog.sources.table_logs import read_table
@@ -172,6 +178,21 @@ def _scrape_query(every: str) -> Query:
     return query
 
 
+def value_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value that a scrape sees, also between pushes, as one row for each change."""
+    series = _series(read_table(spark, sf_dir, "events"))
+    seen = ops.value_intervals(series, SERIES, "ts", "event_id")
+    first, last = (epoch_millis(F.col(c)) for c in ("first_tick", "last_tick"))
+    return seen.select(*SERIES, "value", first.alias("firstMillis"), last.alias("lastMillis"))
+
+
+def task_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error texts of failed tasks whose exceptions were logged as frames, without full trace."""
+    events = parse_events(logs.failed_task_lines(spark, sf_dir), ("task_metrics",))
+    failed = ops.record_table(events, "task_metrics")
+    return failed.select("taskId", "attemptNumber", "status", "failureReason")
+
+
 def sanitize(function) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         part, pages = read_table(spark, sf_dir, "part"), read_table(spark, sf_dir, "pages")
@@ -232,6 +253,18 @@ def event_stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read().drop("batch")
 
 
+def event_tail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the log as plain files, then streams records from their byte ranges."""
+    log = scratch_dir(spark, "event-log")
+    logs.basic_lines(spark, sf_dir).select("value", "appId").write.partitionBy("appId").text(log)
+    events = parse_events(tail_lines(spark, log), schema.BASIC_KINDS)
+    table = streaming.records_table(spark, scratch_dir(spark, "tail-records"))
+    streaming.stream_to(
+        ops.records(events), table, scratch_dir(spark, "checkpoint"), mode="append"
+    ).awaitTermination()
+    return table.read().drop("batch")
+
+
 def _event_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream in the order of its event times."""
     table = read_table(spark, sf_dir, "events")
@@ -310,6 +343,8 @@ QUERIES: dict[str, Query] = {
         "latest_push_state": latest_push_state,
         "scrape_samples": _scrape_query("500 milliseconds"),
         "scrape_samples_15s": _scrape_query("15 seconds"),
+        "value_intervals": value_intervals,
+        "task_failures": task_failures,
         "sanitize_metric_name": sanitize(sanitize_metric_name),
         "sanitize_label_name": sanitize(sanitize_label_name),
         "event_files_records": event_files_records,
@@ -317,6 +352,7 @@ QUERIES: dict[str, Query] = {
         "event_files_counts": event_files_counts,
         "text_files_word_count": text_files_word_count,
         "event_stream_records": event_stream_records,
+        "event_tail_records": event_tail_records,
         "latest_samples_stream": latest_samples_stream,
         "latest_push_state_stream": latest_push_state_stream,
         "scrape_samples_stream": scrape_samples_stream,

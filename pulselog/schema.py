@@ -71,6 +71,8 @@ _TASK_INFO = """struct<
 
 _TASK_END_REASON = """struct<
     Reason: string, Description: string, `Class Name`: string, `Full Stack Trace`: string,
+    `Stack Trace`: array<struct<`Declaring Class`: string, `Method Name`: string,
+        `File Name`: string, `Line Number`: int>>,
     `Kill Reason`: string, Message: string, `Loss Reason`: string, `Executor ID`: string,
     `Exit Caused By App`: boolean, `Block Manager Address`:
         struct<`Executor ID`: string, Host: string, Port: int>,

@@ -243,6 +243,58 @@ def task_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Frames of a failed task: declaring class, method, file and line as SQL of a line item.
+FRAMES = (
+    ("concat('job.Part', l_partkey % 10)", "'read'", "'Part.scala'", "l_linenumber * 10"),
+    ("'jdk.internal.Unsafe'", "'park'", "'Unsafe.java'", "-2"),
+    ("concat('job.Generated', l_suppkey)", "'apply'", "CAST(NULL AS VARCHAR(20))", "-1"),
+    ("'job.Main$'", "'main'", "'Main.scala'", "-1"),
+)
+
+FAILED_TASK = {
+    "task_id": TASK["task_id"],
+    "attempt": TASK["attempt"],
+    "launch_ms": "ship_ms",
+    "finish_ms": "ship_ms + 1 + CAST(floor(l_quantity) AS BIGINT)",
+    "description": "CASE WHEN l_linenumber % 3 <> 0 THEN concat('part \"', l_partkey, '\"') END",
+    "full_trace": "CASE WHEN l_partkey % 4 = 0 THEN concat('E: full', chr(10), l_partkey) END",
+    "n_frames": "l_orderkey % 5",
+}
+
+
+def failed_task_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A failed task per returned line item; most were logged with frames and no full trace."""
+    items = _with_millis(read_table(spark, sf_dir, "lineitem"), "ship_ms", "l_shipdate")
+    names = ("Declaring Class", "Method Name", "File Name", "Line Number")
+    frames = ", ".join(_struct(dict(zip(names, frame))) for frame in FRAMES)
+    inputs = {**FAILED_TASK, "frames": f"slice(array({frames}), 1, CAST(l_orderkey % 5 AS INT))"}
+    reason = {
+        "Reason": "'ExceptionFailure'",
+        "Class Name": "'java.io.IOException'",
+        "Description": "description",
+        "Stack Trace": "frames",
+        "Full Stack Trace": "full_trace",
+    }
+    info = {
+        "Task ID": "task_id",
+        "Attempt": "attempt",
+        "Launch Time": "launch_ms",
+        "Finish Time": "finish_ms",
+        "Failed": "true",
+        "Killed": "false",
+    }
+    counters = {"Task Metrics": _struct({"Executor Run Time": "1L"})}
+    return _lines(
+        _inputs(items.where("l_returnflag = 'R'"), inputs).withColumn("app_id", F.lit("app-0")),
+        _line(
+            schema.TASK_END,
+            {"Stage ID": "0L", "Stage Attempt ID": "0", "Task End Reason": _struct(reason)}
+            | {"Task Info": _struct(info)}
+            | counters,
+        ),
+    )
+
+
 def stage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stage submission and a stage completion per supplier that occurs in line items."""
     items = _with_millis(read_table(spark, sf_dir, "lineitem"), "ship_ms", "l_shipdate")

@@ -14,7 +14,7 @@ from pyspark.sql.types import TimestampNTZType
 
 from pulselog.functions.order import epoch_micros, order_key
 from pulselog.operators.latest import PUSH_GROUP, latest_samples, scrape_samples
-from pulselog.sinks.fanout import FanOut, Sink
+from pulselog.sinks.fanout import FanOut, Ledger, Sink
 
 _ONCE = {"availableNow": True}
 
@@ -32,8 +32,11 @@ def append_records(
 def fan_out(
     events: DataFrame, checkpoint: str, trigger: dict | None = None, **sinks: Sink
 ) -> tuple[StreamingQuery, FanOut]:
-    """Runs every micro-batch through several sinks; failures are counted per sink."""
-    target = FanOut(**sinks)
+    """Runs every micro-batch through several sinks; failures are counted per sink.
+
+    The checkpoint folder also holds the ledger of what each sink has had.
+    """
+    target = FanOut(Ledger(events.sparkSession, f"{checkpoint}/ledger"), **sinks)
     writer = events.writeStream.foreachBatch(target).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or _ONCE)).start(), target
 

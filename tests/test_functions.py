@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulselog import operators as ops
+from pulselog import schema
 from pulselog.functions import (
     app_id_from_path,
     epoch_micros,
@@ -171,3 +172,35 @@ def test_order_key_orders_pairs(spark):
 def test_epoch_micros_ignores_the_session_zone(spark):
     frame = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00.123456' AS t")
     assert frame.select(epoch_micros(F.col("t"))).first()[0] == 1710037800123456
+
+
+def test_failure_from_frames(spark):
+    """An exception without full trace is its class, description and frames, as Spark prints them."""
+    frame = lambda c, m, f, n: {
+        "Declaring Class": c, "Method Name": m, "File Name": f, "Line Number": n
+    }
+    frames = [
+        frame("a.B", "run", "B.scala", 7), frame("a.C", "n", None, -2), frame("a.D", "<init>", None, 5),
+        frame("a.E$", "x", "E.java", -1), frame("a.F", "y", "F.java", 0),
+    ]
+    reasons = [
+        {"Reason": "ExceptionFailure", "Class Name": "x.E", "Description": "d", "Stack Trace": frames},
+        {"Reason": "ExceptionFailure", "Class Name": "x.E", "Stack Trace": frames[:1]},
+        {"Reason": "ExceptionFailure", "Class Name": "x.E", "Description": "d", "Stack Trace": []},
+        {"Reason": "ExceptionFailure", "Class Name": "x.E", "Description": "d",
+         "Stack Trace": frames, "Full Stack Trace": "whole"},
+        {"Reason": "ExceptionFailure", "Class Name": "x.E", "Description": "d"},
+    ]
+    lines = [(n, json.dumps({"r": reason})) for n, reason in enumerate(reasons)]
+    parsed = spark.createDataFrame(lines, "n int, line string").select(
+        "n", F.from_json("line", f"r {schema._TASK_END_REASON}").alias("p")
+    )
+    got = parsed.orderBy("n").selectExpr(f"{failure_text('p.r')} AS text").collect()
+    assert [row.text for row in got] == [
+        "x.E: d\n        a.B.run(B.scala:7)\n        a.C.n(Native Method)\n"
+        "        a.D.<init>(Unknown Source)\n        a.E$.x(E.java)\n        a.F.y(F.java:0)",
+        "x.E: \n        a.B.run(B.scala:7)",
+        "x.E: d\n",
+        "whole",
+        "x.E: d",
+    ]
