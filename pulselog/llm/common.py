@@ -16,10 +16,10 @@ BASE = 0x9E3779B97F4A7C15
 MIX = 0x94D049BB133111EB
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """The rows of ``df``, stored in the shared folder: its lineage ends here."""
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
