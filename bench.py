@@ -32,6 +32,10 @@ HEADLINE = (
     "scrape_samples",
     "sanitize_metric_name",
     "latest_samples_stream",
+    "scrape_samples_stream",
+    "event_files_rollup",
+    "event_stream_records",
+    "value_intervals",
 )
 
 

@@ -12,7 +12,7 @@ from pulselog import schema, sinks, streaming
 from pulselog.session import tune
 from pulselog.settings import Settings
 from pulselog.sinks.push import Transport, http_post
-from pulselog.sources import read_event_stream, read_lines
+from pulselog.sources import parse_events, read_event_stream, read_lines, tail_lines
 
 log = logging.getLogger(__name__)
 
@@ -26,7 +26,10 @@ def telemetry(
     trigger: dict | None = None,
     transport: Transport = http_post,
 ) -> tuple[StreamingQuery, sinks.FanOut]:
-    """Streams a log folder to the configured sinks: push gateway, Kafka topic or both."""
+    """Streams a log folder to the configured sinks: push gateway, Kafka topic or both.
+
+    ``settings.live`` follows plain files while they grow; otherwise sealed files are read.
+    """
     targets: dict[str, sinks.Sink] = {}
     if settings.push_gateway:
 
@@ -52,7 +55,10 @@ def telemetry(
     if not targets:
         raise ValueError("configure a push gateway or a Kafka broker and topic")
     kinds = schema.EXTENDED_KINDS if settings.extended else schema.BASIC_KINDS
-    events = read_event_stream(tune(spark), log_dir, kinds, settings.max_files)
+    if settings.live:
+        events = parse_events(tail_lines(tune(spark), log_dir), kinds)
+    else:
+        events = read_event_stream(tune(spark), log_dir, kinds, settings.max_files)
     return streaming.fan_out(events, checkpoint, trigger, **targets)
 
 

@@ -19,6 +19,8 @@ class Settings:
     #: Connections that push at the same time, and log files of one micro-batch.
     connections: int = 4
     max_files: int = 64
+    #: Whether log files are read while they grow, or once they are sealed.
+    live: bool = False
 
     @classmethod
     def read(cls, conf: Mapping[str, str] | Callable, prefix: str = "spark.pulselog") -> Settings:
@@ -36,11 +38,14 @@ class Settings:
                 raise ValueError(f"{prefix}.{name} must be a whole number from 1 on, not {text!r}")
             return int(text)
 
-        flag = option("extendedmode")
-        if flag is not None and flag.strip().lower() not in ("true", "false"):
-            raise ValueError(f"{prefix}.extendedmode must be true or false, not {flag!r}")
+        def switch(name: str) -> bool:
+            flag = option(name)
+            if flag is not None and flag.strip().lower() not in ("true", "false"):
+                raise ValueError(f"{prefix}.{name} must be true or false, not {flag!r}")
+            return flag is not None and flag.strip().lower() == "true"
+
         return cls(
-            extended=flag is not None and flag.strip().lower() == "true",
+            extended=switch("extendedmode"),
             job=option("jobname") or cls.job,
             push_gateway=option("pushgateway"),
             kafka_broker=option("kafkaBroker"),
@@ -48,6 +53,7 @@ class Settings:
             instance=option("instance") or cls.instance,
             connections=number("connections", cls.connections),
             max_files=number("maxFilesPerTrigger", cls.max_files),
+            live=switch("live"),
         )
 
     def require(self, name: str) -> str:

@@ -65,3 +65,25 @@ def test_count_words(spark, tmp_path):
     rows = spark.read.schema("word string, count bigint").json(target).collect()
     assert (rows[0]["word"], rows[0]["count"]) == ("the", 3)
     assert {tuple(row) for row in rows[1:]} == {("sea,", 1), ("sea!", 1)}
+
+
+def test_live_telemetry_follows_a_growing_log(spark, tmp_path):
+    log, out = tmp_path / "eventlog_v2_app-9", tmp_path / "pushed"
+    log.mkdir()
+    out.mkdir()
+    file = log / "events_1_app-9.inprogress"
+    settings = Settings.read({"x.live": "true", "x.pushgateway": "gw:1"}, "x")
+    text = "\n".join(LINES) + "\n"
+    half = len(text) // 2
+    requests = []
+    for part in (text[:half], text[half:]):
+        with file.open("a", encoding="utf-8") as growing:
+            growing.write(part)
+        query, fan = telemetry(
+            spark, str(log), str(tmp_path / "checkpoint"), settings,
+            transport=recording_transport(str(out)),
+        )
+        query.awaitTermination()
+        requests.append(fan.requests["push"]["delivered"])
+    assert 0 < requests[0] < requests[1] == 11
+    assert len(list(out.iterdir())) == 11
