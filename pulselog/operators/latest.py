@@ -89,7 +89,7 @@ def value_intervals(
     end = F.col("tick.end")
     zoneless = isinstance(samples.schema[time].dataType, TimestampNTZType)
     span = F.floor(epoch_micros(end, zoneless) / F.lit(span_micros))
-    rows = ticks.select(*keys, F.struct(value).alias("_seen"), end.alias("_tick"), span.alias("_span"))
+    rows = ticks.select(*keys, F.col(value).alias("_seen"), end.alias("_tick"), span.alias("_span"))
     inside = Window.partitionBy(*keys, "_span").orderBy("_tick")
     along = Window.partitionBy(*keys).orderBy("_span")
 
@@ -99,15 +99,18 @@ def value_intervals(
         return found.select(left["*"], *[right[c] for c in right.columns if c not in (*keys, "_span")])
 
     lasts = rows.groupBy(*keys, "_span").agg(F.max_by("_seen", "_tick").alias("_last"))
-    lasts = lasts.select(*keys, "_span", F.lag("_last").over(along).alias("_earlier"))
-    known = F.coalesce(F.lag("_seen").over(inside), F.col("_earlier"))
-    changes = beside(rows, lasts).withColumn("_known", known)
-    changes = changes.where(F.col("_known").isNull() | ~F.col("_known").eqNullSafe(F.col("_seen")))
+    earlier = F.lag("_last").over(along).alias("_earlier"), F.lag(F.lit(True)).over(along).alias("_any")
+    lasts = lasts.select(*keys, "_span", *earlier)
+    # Whether there is a value before is told apart from its being null.
+    beginning = F.lag(F.lit(True)).over(inside).isNull()
+    known = F.when(beginning, F.col("_earlier")).otherwise(F.lag("_seen").over(inside))
+    anew = ~known.eqNullSafe(F.col("_seen")) | (beginning & F.col("_any").isNull())
+    changes = beside(rows, lasts).withColumn("_anew", anew).where("_anew")
     firsts = changes.groupBy(*keys, "_span").agg(F.min("_tick").alias("_first"))
     after = along.rowsBetween(1, Window.unboundedFollowing)
     firsts = firsts.select(*keys, "_span", F.min("_first").over(after).alias("_later"))
     following = F.coalesce(F.lead("_tick").over(inside), F.col("_later"))
     last = following - F.expr(f"INTERVAL {every}")
     return beside(changes, firsts).select(
-        *keys, f"_seen.{value}", F.col("_tick").alias("first_tick"), last.alias("last_tick")
+        *keys, F.col("_seen").alias(value), F.col("_tick").alias("first_tick"), last.alias("last_tick")
     )
