@@ -274,8 +274,9 @@ def _event_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_samples_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = streaming.recent_stream(
-        _event_table_stream(spark, sf_dir), SERIES, "ts", "micros", "event_id", delay=REPLAY_DELAY
-    )
+        _event_table_stream(spark, sf_dir), SERIES, "ts", "micros", "event_id", keep="7 days",
+        delay=REPLAY_DELAY,
+    )
     table = streaming.latest_table(spark, scratch_dir(spark, "latest"), SERIES, order="seq")
     streaming.stream_to(latest, table, scratch_dir(spark, "checkpoint")).awaitTermination()
     return table.read().select(*SERIES, "value")
