@@ -92,3 +92,20 @@ def test_order_within_and_over_batches(spark, tmp_path):
     table, _ = run(spark, tmp_path, batches)
     got = {r.metric: (r.value, r.epochMillis) for r in table.read().collect()}
     assert got == {"m": (8, 1000), "k": (1, 1000)}
+
+
+def test_buckets_of_entities_give_the_same(spark, tmp_path):
+    """Many entities share a call of Python; each still ends by itself."""
+    batches = []
+    for k in range(2):
+        start = (k + 1) * 10 * MINUTE
+        rows = [(f"jobStart-{30 * k + j}", "starttime", start + j, start + j) for j in range(30)]
+        rows += [(f"jobEnd-{30 * (k - 1) + j}", "m", j, start + j) for j in range(29) if k]
+        batches.append(rows)
+    batches.append([("jobStart-999", "starttime", 1, 200 * MINUTE)])
+    batches.append([("jobStart-0", "starttime", 7, 201 * MINUTE)])
+    one, _ = run(spark, tmp_path, batches)
+    two, totals = run(spark, tmp_path, batches, name="two", buckets=3)
+    columns = [*ops.PUSH_GROUP, "value", "epochMillis", "tie_value", "closed"]
+    assert sorted(one.read().select(columns).collect()) == sorted(two.read().select(columns).collect())
+    assert max(totals) <= 3
