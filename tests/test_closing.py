@@ -109,3 +109,46 @@ def test_buckets_of_entities_give_the_same(spark, tmp_path):
     columns = [*ops.PUSH_GROUP, "value", "epochMillis", "tie_value", "closed"]
     assert sorted(one.read().select(columns).collect()) == sorted(two.read().select(columns).collect())
     assert max(totals) <= 3
+
+
+def test_rows_go_in_and_out_as_columns():
+    """A group's rows are plain columns; only what is kept is one text."""
+    import json
+
+    import pandas as pd
+
+    from pulselog.streaming import closing
+
+    class State:
+        exists, hasTimedOut, text = False, False, None
+
+        @property
+        def get(self):
+            return (self.text,)
+
+        def getCurrentWatermarkMs(self):
+            return self.now
+
+        def update(self, kept):
+            self.exists, self.text = True, kept[0]
+
+        def remove(self):
+            self.exists = False
+
+        def setTimeoutTimestamp(self, at):
+            self.due = at
+
+    state = State()
+    state.now = 0
+    keep = closing._keeper(linger=10, idle=1000)
+    rows = [("a", "m", 5, 1, "x", False, 5), ("a", "m", 5, 2, None, False, 5), ("a", "m", 4, 9, "z", False, 4)]
+    rows += [("b", "m", 7, closing._NO_TIE, "y", True, 7), ("b", "n", 7, 1, "1.5", False, 6)]
+    (out,) = keep(("k",), iter([pd.DataFrame(rows[:2], columns=closing._ROW), pd.DataFrame(rows[2:], columns=closing._ROW)]), state)
+    assert [tuple(r) for r in out.itertuples(index=False)] == [
+        ("a", False, "m", 5, 2, None), ("b", False, "m", 7, closing._NO_TIE, "y"), ("b", False, "n", 7, 1, "1.5")
+    ]
+    assert sorted(json.loads(state.text)) == ["a", "b"] and state.due == 17
+    state.now, state.hasTimedOut = 17, True
+    (out,) = keep(("k",), iter([]), state)
+    assert out["_entity"].tolist() == ["b", "b"] and out["closed"].all()
+    assert sorted(json.loads(state.text)) == ["a"] and state.due == 1005
