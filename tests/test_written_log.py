@@ -34,3 +34,15 @@ def test_records_are_stored_by_zstd_unless_told_otherwise(spark, tmp_path):
         assert all(".zstd." in p.name for p in (tmp_path / "a").glob("part*"))
     with configured(spark, codec, "gzip"):
         assert tune(spark).conf.get(codec) == "gzip"
+
+
+def test_a_batch_has_work_for_all_cores(spark, sf_dir, monkeypatch):
+    """Files of a batch follow the cores, and the streamed log isn't packed at the slowest level."""
+    asked, levels = [], []
+    read, write = queries.read_event_stream, queries._written_log
+    monkeypatch.setattr(queries, "LOG_FILES_PER_BATCH", 1)
+    monkeypatch.setattr(queries, "read_event_stream", lambda *a, **k: asked.append(k) or read(*a, **k))
+    monkeypatch.setattr(queries, "_written_log", lambda s, rows, level: levels.append(level) or write(s, rows, level))
+    assert queries.event_stream_records(spark, sf_dir).count() > 0
+    assert asked[0]["max_files_per_trigger"] == 2 * spark.sparkContext.defaultParallelism
+    assert levels == ["DEFAULT_COMPRESSION"]
