@@ -36,6 +36,19 @@ def test_records_are_stored_by_zstd_unless_told_otherwise(spark, tmp_path):
         assert tune(spark).conf.get(codec) == "gzip"
 
 
+def test_records_of_a_written_log_are_stored_at_a_higher_level(spark, sf_dir):
+    """Log and result lie on disk together. The level ends with the next query; one's own stays."""
+    key = "parquet.compression.codec.zstd.level"
+    tune(spark)
+    queries.QUERIES["event_files_records"](spark, sf_dir)
+    assert spark.conf.get(key) == "9"
+    queries.QUERIES["executor_added"](spark, sf_dir)
+    assert spark.conf.get(key) == "3"
+    with configured(spark, key, "7"):
+        queries.QUERIES["executor_added"](spark, sf_dir)
+        assert spark.conf.get(key) == "7"
+
+
 def test_a_batch_has_work_for_all_cores(spark, sf_dir, monkeypatch):
     """Files of a batch follow the cores, and the streamed log isn't packed at the slowest level."""
     asked, levels = [], []
